@@ -11,7 +11,7 @@ from arrivo.operators.running import asof_history
 from arrivo.plans import builders, features
 from arrivo.plans.view import analytic_view
 from arrivo.queries.binding import BOX, PERIOD
-from arrivo.queries.registry import register
+from arrivo.queries.registry import EXACT, register
 from arrivo.schemas import DELIVERED, ESTIMATED, PREDICTION_TIME, TARGET
 
 
@@ -145,6 +145,7 @@ register(
     "SELECT * FROM m_features",
     real=[*FEATURE_REAL, "approval_hours"],
     whole=FEATURE_WHOLE,
+    digits=EXACT,
 )
 register(
     "order_features_purchase",
@@ -202,6 +203,7 @@ register(
     "SELECT * FROM m_dataset",
     real=[*FEATURE_REAL, "approval_hours", "max_distance_km", "seller_prev_late_rate"],
     whole=FEATURE_WHOLE,
+    digits=EXACT,
 )
 register(
     "analytic_view",

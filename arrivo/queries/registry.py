@@ -12,6 +12,7 @@ from arrivo.queries.sql import query
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 DIGITS = 6
+EXACT = 8  # enough for seconds as a fraction of a day, so that no value lies on a rounding edge
 
 
 def comparable(df: DataFrame, digits: int = DIGITS) -> DataFrame:
