@@ -104,13 +104,14 @@ def differs(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def value_bucket(value: Column, steps: int = 1 << 14) -> Column:
+def value_bucket(value: str, steps: int = 1 << 14) -> Column:
     """Order-preserving bucket number of a double: `steps` equal slices per power of two.
 
     Needs no minimum or maximum, is not spoilt by outliers, and keeps each bucket to 1/steps of an
     octave, whatever the scale of the data.
     """
-    size = F.abs(value)
-    octave = F.floor(F.log2(size))
-    slot = (octave + 1100) * steps + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * steps)
-    return F.when(value == 0, F.lit(0)).when(value > 0, slot).otherwise(-slot).cast("long")
+    size, octave = f"abs({value})", f"floor(log2(abs({value})))"
+    slot = f"(({octave} + 1100) * {steps} + floor(({size} / pow(2, {octave}) - 1) * {steps}))"
+    return F.expr(
+        f"CASE WHEN {value} = 0 THEN 0L WHEN {value} > 0 THEN {slot} ELSE -{slot} END"
+    )

@@ -53,8 +53,8 @@ def run_baseline(
 ) -> dict:
     """Fit the baseline on the past, measure it on the last `test_fraction`."""
     table = materialize(build_baseline_table(tables, anchor, period), "baseline")
-    cutoff = temporal_cutoff(table, test_fraction).first()["cutoff"]
-    split = temporal_split(table, F.lit(cutoff).cast("timestamp_ntz"))
+    cutoff = temporal_cutoff(table, test_fraction)
+    split = temporal_split(table, cutoff)
     train, test = (union_cohorts(split, [name]) for name in ("train", "test"))
     model = baseline_candidate(anchor).fit(train)
     scored = materialize(model.score(test).select(TARGET, "score"), "baseline-scores")
@@ -113,7 +113,7 @@ def compare_models(
     threshold on validation; only then is the test cohort scored.
     """
     candidates = candidates or candidate_models(anchor)
-    split = materialize(three_way_split(dataset), "comparison")
+    split = materialize(three_way_split(materialize(dataset, "dataset")), "comparison")
     train, validation, test = (union_cohorts(split, [name]) for name in COHORTS)
     folded = materialize(temporal_folds(union_cohorts(split, ["train", "validation"])), "folds")
     report = {

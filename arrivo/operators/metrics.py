@@ -72,7 +72,7 @@ def ranking_metrics(
 ) -> DataFrame:
     """ROC-AUC (ties count half) and average precision (step sum), per key."""
     ranked = running_totals(
-        score_counts(scored, label, score, keys), keys, "s", value_bucket(F.col("s")), ["pos", "n"], True
+        score_counts(scored, label, score, keys), keys, "s", value_bucket("s"), ["pos", "n"], True
     )
     pos, n = F.col("pos").cast("double"), F.col("n").cast("double")
     below_neg = F.col("before_n") - F.col("before_pos")

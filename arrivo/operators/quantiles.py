@@ -32,33 +32,39 @@ def quantiles_of_counts(
     names: Sequence[str],
     bucket: Column | None = None,
 ) -> DataFrame:
-    bucket = value_bucket(F.col(VALUE)) if bucket is None else bucket
-    total, before = F.col(f"total_{WEIGHT}"), F.col(f"before_{WEIGHT}")
-    # position p·(n−1) of each probability, computed per key from the total count
-    spot = {p: (total - 1) * F.lit(float(p)) for p in probs}
-    ranks = [edge(spot[p]) for p in probs for edge in (F.floor, F.ceil)]
-
-    def holds(start: Column, size: Column) -> Column:
-        hit = F.lit(False)
-        for rank in ranks:
-            hit = hit | ((rank >= start) & (rank < start + size))
-        return hit
+    """Quantiles of a (keys, value, count) table with one row per (keys, value)."""
+    bucket = value_bucket(VALUE) if bucket is None else bucket
+    # position p·(n−1) of each probability, from the total count of the key
+    levels = f"array({', '.join(f'{float(p)!r}D' for p in probs)})"
+
+    def holds(start: str, size: str) -> str:
+        """Does the run of equal values, or the bucket, hold one of the two ranks of a level?"""
+        spot = f"((total_{WEIGHT} - 1) * p)"
+        return f"exists({levels}, p -> floor({spot}) < {start} + {size} AND ceil({spot}) >= {start})"
 
     offsets = bucket_offsets(counts, keys, bucket, [WEIGHT], totals=True).filter(
-        holds(F.col(f"_before_{WEIGHT}"), F.col(f"_in_{WEIGHT}"))
+        holds(f"_before_{WEIGHT}", f"_in_{WEIGHT}")
     )
     ordered = within_buckets(
         counts, offsets, keys, VALUE, bucket, [WEIGHT], keep=[f"total_{WEIGHT}"]
-    ).filter(holds(before, F.col(WEIGHT)))
-    parts, result = [], []
-    for number, (p, name) in enumerate(zip(probs, names)):
-        low, high, frac = f"_lo{number}", f"_hi{number}", f"_fr{number}"
-        for edge, out in ((F.floor, low), (F.ceil, high)):
-            rank = edge(spot[p])
-            parts.append(F.max(F.when((rank >= before) & (rank < before + F.col(WEIGHT)), F.col(VALUE))).alias(out))
-        parts.append(F.max(spot[p] - F.floor(spot[p])).alias(frac))
-        result.append((F.col(low) + (F.col(high) - F.col(low)) * F.col(frac)).alias(name))
-    return ordered.groupBy(*keys).agg(*parts).select(*keys, *result)
+    ).filter(holds(f"before_{WEIGHT}", WEIGHT))
+    # at most two rows per probability are left
+    found = ordered.groupBy(*keys).agg(
+        F.expr(f"collect_list(struct(before_{WEIGHT} AS first, {WEIGHT} AS n, {VALUE} AS v))").alias("r"),
+        F.max(f"total_{WEIGHT}").alias("n"),
+    )
+
+    def interpolated(p: float) -> str:
+        spot = f"((n - 1) * {float(p)!r}D)"
+        low, high = (
+            f"filter(r, x -> {edge}({spot}) >= x.first AND {edge}({spot}) < x.first + x.n)[0].v"
+            for edge in ("floor", "ceil")
+        )
+        return f"{low} + ({high} - {low}) * ({spot} - floor({spot}))"
+
+    return found.filter("n > 0").select(
+        *keys, *[F.expr(interpolated(p)).alias(name) for p, name in zip(probs, names)]
+    )
 
 
 def quantiles(
@@ -96,7 +102,7 @@ def time_quantiles(
     df: DataFrame, time: Column | str, probs: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
     """Quantiles of a timestamp column, interpolated to the microsecond."""
-    minute = F.floor(F.col(VALUE) / MINUTE)
+    minute = F.expr(f"floor({VALUE} / {MINUTE})")
     raw = quantiles_of_counts(value_counts(df, micros(time)), probs, [], names, minute)
     return raw.select(*[from_micros(F.floor(F.col(n)).cast("long")).alias(n) for n in names])
 
@@ -105,16 +111,15 @@ def equal_frequency_bins(df: DataFrame, value: str, bins: int, out: str) -> Data
     """Right-closed bins 0…bins-1 at interpolated quantiles; repeated edges are merged."""
     probs = [i / bins for i in range(bins + 1)]
     names = [f"_e{i}" for i in range(bins + 1)]
-    edges = quantiles(df, value, probs, names=names).select(
-        F.array_sort(F.array_distinct(F.array(*names))).alias("_edges")
+    edges = f"array_sort(array_distinct(array({', '.join(names)})))"
+    inner = quantiles(df, value, probs, names=names).selectExpr(
+        f"slice({edges}, 2, greatest(size({edges}) - 2, 0)) AS inner_edges"
     )
-    inner = F.expr("slice(_edges, 2, greatest(size(_edges) - 2, 0))")
-    v = F.col(value).cast("double")
+    # bin number = inner edges strictly below the value; the array has at most bins-1 members
+    number = F.size(F.filter(F.col("_edges"), lambda edge: edge < F.col(value)))
+    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
     return (
-        df.withColumn("_edges", edges.scalar())
-        .withColumn(
-            out,
-            F.when(v.isNotNull() & ~F.isnan(v), F.size(F.filter(inner, lambda edge: edge < v))),
-        )
+        df.withColumn("_edges", inner.scalar())
+        .withColumn(out, F.when(known, number))
         .drop("_edges")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,7 +21,7 @@ def start_of_day(time: Column) -> Column:
     return F.to_date(time).cast("timestamp_ntz")
 
 
-def temporal_cutoff(
+def cutoff_table(
     table: DataFrame, fraction: float = TEST_FRACTION, time: str = PREDICTION_TIME
 ) -> DataFrame:
     """One row: the day from which about the last `fraction` of the rows lie."""
@@ -28,15 +29,26 @@ def temporal_cutoff(
     return edge.select(start_of_day(F.col("cutoff")).alias("cutoff"))
 
 
-def temporal_split(table: DataFrame, cutoff: Column, time: str = PREDICTION_TIME) -> DataFrame:
+def temporal_cutoff(
+    table: DataFrame, fraction: float = TEST_FRACTION, time: str = PREDICTION_TIME
+) -> datetime:
+    """The cutoff as a value: later plans then hold a literal, which reaches the scans."""
+    return cutoff_table(table, fraction, time).first()["cutoff"]
+
+
+def moment(value: datetime) -> Column:
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def temporal_split(table: DataFrame, cutoff: datetime, time: str = PREDICTION_TIME) -> DataFrame:
     """Add `cohort`: test from the cutoff on, train before it (and where the time is missing)."""
-    return table.withColumn("cohort", F.when(F.col(time) >= cutoff, "test").otherwise("train"))
+    return table.withColumn("cohort", F.when(F.col(time) >= moment(cutoff), "test").otherwise("train"))
 
 
 def two_way_split(
     table: DataFrame, fraction: float = TEST_FRACTION, time: str = PREDICTION_TIME
 ) -> DataFrame:
-    return temporal_split(table, temporal_cutoff(table, fraction, time).scalar(), time)
+    return temporal_split(table, temporal_cutoff(table, fraction, time), time)
 
 
 def three_way_cutoffs(
@@ -44,15 +56,11 @@ def three_way_cutoffs(
     test_fraction: float = TEST_FRACTION,
     validation_fraction: float = VALIDATION_FRACTION,
     time: str = PREDICTION_TIME,
-) -> DataFrame:
-    """One row with both cutoffs; the second is computed on what lies before the first."""
-    times = table.select(time)
-    last = temporal_cutoff(times, test_fraction, time)
-    earlier = times.withColumn("_cut", last.scalar()).filter(F.col(time) < F.col("_cut"))
-    first = temporal_cutoff(earlier, validation_fraction, time)
-    return last.select(
-        first.scalar().alias("validation_start"), F.col("cutoff").alias("test_start")
-    )
+) -> tuple[datetime, datetime]:
+    """Starts of validation and test; the first is computed on what lies before the second."""
+    test_start = temporal_cutoff(table, test_fraction, time)
+    earlier = table.filter(F.col(time) < moment(test_start))
+    return temporal_cutoff(earlier, validation_fraction, time), test_start
 
 
 def three_way_split(
@@ -61,19 +69,17 @@ def three_way_split(
     validation_fraction: float = VALIDATION_FRACTION,
     time: str = PREDICTION_TIME,
 ) -> DataFrame:
-    """Add `cohort` train / validation / test, in that order in time."""
-    cuts = three_way_cutoffs(table, test_fraction, validation_fraction, time)
-    packed = cuts.select(F.struct("validation_start", "test_start").alias("c"))
-    moment = F.col(time)
-    return (
-        table.withColumn("_cuts", packed.scalar())
-        .withColumn(
-            "cohort",
-            F.when(moment >= F.col("_cuts.test_start"), "test")
-            .when(moment >= F.col("_cuts.validation_start"), "validation")
-            .otherwise("train"),
-        )
-        .drop("_cuts")
+    """Add `cohort` train / validation / test, in that order in time.
+
+    Reads the time column twice to find the cutoffs: hand over a written table where the plan
+    behind it is costly.
+    """
+    validation_start, test_start = three_way_cutoffs(table, test_fraction, validation_fraction, time)
+    return table.withColumn(
+        "cohort",
+        F.when(F.col(time) >= moment(test_start), "test")
+        .when(F.col(time) >= moment(validation_start), "validation")
+        .otherwise("train"),
     )
 
 
@@ -94,10 +100,9 @@ def temporal_folds(table: DataFrame, folds: int = FOLDS, time: str = PREDICTION_
     packed = fold_edges(table, folds, time).select(
         F.array(*[f"edge{i}" for i in range(folds)]).alias("e")
     )
-    moment = F.col(time)
     fold = F.lit(0)
     for number in range(folds):
-        fold = F.when(moment >= F.col("_e")[number], number + 1).otherwise(fold)
+        fold = F.when(F.col(time) >= F.col("_e")[number], number + 1).otherwise(fold)
     return table.withColumn("_e", packed.scalar()).withColumn("fold", fold).drop("_e")
 
 

@@ -21,12 +21,21 @@ M_SCORED = {"m_scored_cohort": SCORED_COHORT, "m_cuts": CUTS}
 
 register(
     "temporal_cutoff",
-    lambda b: temporal.temporal_cutoff(moments(b)),
+    lambda b: temporal.cutoff_table(moments(b)),
     "SELECT date_trunc('day', quantile_cont(prediction_time, 0.8))::TIMESTAMP AS cutoff FROM m_moments",
 )
 register(
     "three_way_cutoffs",
-    lambda b: temporal.three_way_cutoffs(moments(b)),
+    lambda b: moments(b)
+    .limit(1)
+    .select(
+        *[
+            temporal.moment(cut).alias(name)
+            for name, cut in zip(
+                ("validation_start", "test_start"), temporal.three_way_cutoffs(moments(b))
+            )
+        ]
+    ),
     "SELECT validation_start, test_start FROM m_cuts",
     m_cuts=CUTS,
 )
