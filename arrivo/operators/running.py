@@ -99,17 +99,15 @@ def asof_history(
     happened = events.select(
         by, micros(event_time).alias(moment), *[F.col(c).alias(out) for out, c in sums.items()]
     ).dropna(subset=[by, moment])
+    # nothing but the sums: both uses of the marks below then share one exchange
     marks = (
-        happened.withColumn("_asked", F.lit(False))
-        .unionByName(asked.withColumns({out: F.lit(0) for out in sums} | {"_asked": F.lit(True)}))
+        happened.unionByName(asked.withColumns({out: F.lit(0) for out in sums}))
         .groupBy(by, moment)
-        .agg(*[F.sum(out).alias(out) for out in sums], F.max("_asked").alias("_asked"))
-    )
-    history = (
-        running_totals(marks, [by], moment, F.floor(F.col(moment) / bucket_micros), list(sums))
-        .filter("_asked")
-        .select(by, moment, *[F.col(f"before_{out}").alias(out) for out in sums])
+        .agg(*[F.sum(out).alias(out) for out in sums])
     )
+    history = running_totals(
+        marks, [by], moment, F.floor(F.col(moment) / bucket_micros), list(sums)
+    ).select(by, moment, *[F.col(f"before_{out}").alias(out) for out in sums])
     return (
         queries.withColumn(moment, micros(query_time))
         .join(history, [by, moment], "left")
