@@ -87,14 +87,22 @@ class Preprocessor:
     rare: dict[str, list[str]] = field(default_factory=dict)
 
     def fit(self, train: DataFrame) -> "Preprocessor":
+        if self.numeric:
+            self._fit_numeric(train)
+        if self.categorical:
+            self._fit_categorical(train)
+        return self
+
+    def _fit_numeric(self, train: DataFrame) -> None:
         rows = median_table(train, self.numeric).collect()  # one row per feature
         self.medians = {c: 0.0 for c in self.numeric} | {r["columna"]: r["mediana"] for r in rows}
         if self.layout == "onehot":
             for r in moment_table(train, self.numeric, self.medians).collect():
                 self.scales[r["columna"]] = (r["media"], r["desvio"] or 1.0)
+
+    def _fit_categorical(self, train: DataFrame) -> None:
         counts = category_counts(train, self.categorical)
-        sizes = counts.groupBy("columna").count().collect()
-        for r in sizes:
+        for r in counts.groupBy("columna").count().collect():  # one row per feature
             if r["count"] > MAX_CATEGORIES:
                 raise ValueError(f"{r['columna']} has {r['count']} values: not a categorical feature")
         self.categories = {c: [] for c in self.categorical}
@@ -102,7 +110,6 @@ class Preprocessor:
         for r in counts.orderBy("columna", "valor").collect():  # at most MAX_CATEGORIES per column
             common = self.layout != "onehot" or r["n"] >= self.min_frequency
             (self.categories if common else self.rare)[r["columna"]].append(r["valor"])
-        return self
 
     def _text(self, c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit(MISSING))

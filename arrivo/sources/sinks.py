@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from arrivo.operators.checks import stack
 
 
+# lossless, and read back by the CSV reader
+STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         # quotes doubled, so that text with quotes and line breaks reads back unchanged
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.options(header=True, escape='"', timestampNTZFormat=STAMP_FORMAT).csv(path)
     else:
         writer.format(fmt).save(path)
 
@@ -29,7 +33,7 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "csv")
         if fmt == "csv":
             written = (
                 spark.read.schema(df.schema)
-                .options(header=True, escape='"', multiLine=True)
+                .options(header=True, escape='"', multiLine=True, timestampNTZFormat=STAMP_FORMAT)
                 .csv(path)
             )
         else:
@@ -49,4 +53,4 @@ def write_report(spark: SparkSession, report: Mapping, path: str) -> None:
 
 
 def read_report(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.option("wholetext", True).text(path).first()[0])
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
