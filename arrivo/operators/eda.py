@@ -195,9 +195,9 @@ def rates_by_approval(df: DataFrame) -> DataFrame:
 
 def rates_by_freight_quintile(df: DataFrame) -> DataFrame:
     """Rate per fifth of the freight/price ratio."""
-    binned = equal_frequency_bins(df.select("freight_ratio", TARGET), "freight_ratio", 5, "quintil")
+    known = df.select("freight_ratio", TARGET).filter(F.col("freight_ratio").isNotNull())
     return (
-        rates(binned, "quintil")
+        rates(equal_frequency_bins(known, "freight_ratio", 5, "quintil"), "quintil")
         .withColumn("quintil_flete", pick_label("quintil", FREIGHT_LABELS))
         .orderBy("quintil")
     )

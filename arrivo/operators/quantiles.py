@@ -115,11 +115,12 @@ def equal_frequency_bins(df: DataFrame, value: str, bins: int, out: str) -> Data
     inner = quantiles(df, value, probs, names=names).selectExpr(
         f"slice({edges}, 2, greatest(size({edges}) - 2, 0)) AS inner_edges"
     )
-    # bin number = inner edges strictly below the value; the array has at most bins-1 members
-    number = F.size(F.filter(F.col("_edges"), lambda edge: edge < F.col(value)))
-    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    # bin number = inner edges strictly below the value. Written out rather than as a lambda over the
+    # array: the value may be a long expression, which generated code then evaluates once per row.
+    above = [f"coalesce(cast({value} > get(_edges, {i}) AS int), 0)" for i in range(bins - 1)]
+    known = f"{value} IS NOT NULL AND NOT isnan(cast({value} AS double))"
     return (
         df.withColumn("_edges", inner.scalar())
-        .withColumn(out, F.when(known, number))
+        .withColumn(out, F.expr(f"CASE WHEN {known} THEN {' + '.join(above) or '0'} END"))
         .drop("_edges")
     )

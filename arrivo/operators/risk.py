@@ -136,9 +136,9 @@ def calibration_deciles(
     scored: DataFrame, label: str = TARGET, prob: str = "prob", bins: int = 10
 ) -> DataFrame:
     """Mean predicted risk against the observed rate, per tenth of the probabilities."""
-    binned = equal_frequency_bins(scored.select(label, prob), prob, bins, "decil")
+    known = scored.select(label, prob).filter(F.col(prob).isNotNull() & ~F.isnan(prob))
     return (
-        binned.dropna(subset=["decil"])
+        equal_frequency_bins(known, prob, bins, "decil")
         .groupBy("decil")
         .agg(F.avg(prob).alias("predicho"), rate(label).alias("observado"))
         .orderBy("decil")
