@@ -7,7 +7,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from arrivo.learning.models import Candidate, FittedModel, baseline_candidate, candidate_models
+from arrivo.learning.models import (
+    Candidate,
+    FittedModel,
+    baseline_candidate,
+    candidate_models,
+    fit_many,
+)
 from arrivo.operators.label import build_target, compare_label_rules
 from arrivo.operators.metrics import (
     ALERT_VOLUME,
@@ -52,7 +58,7 @@ def run_baseline(
     period: tuple[str, str] = STUDY_PERIOD,
 ) -> dict:
     """Fit the baseline on the past, measure it on the last `test_fraction`."""
-    table = materialize(build_baseline_table(tables, anchor, period), "baseline")
+    table = materialize(build_baseline_table(tables, anchor, period), "baseline", balanced=True)
     cutoff = temporal_cutoff(table, test_fraction)
     split = temporal_split(table, cutoff)
     train, test = (union_cohorts(split, [name]) for name in ("train", "test"))
@@ -76,12 +82,17 @@ def run_baseline(
     }
 
 
-def cross_validate(candidate: Candidate, table: DataFrame, folds: int = FOLDS) -> dict:
-    """Fit on the folds before k, evaluate on fold k; all folds are measured in one job."""
-    parts = []
-    for k in range(1, folds + 1):
-        model = candidate.fit(table.filter(F.col("fold") < k))
-        parts.append(model.score(table.filter(F.col("fold") == k)).select("fold", TARGET, "score"))
+def fold_work(candidate: Candidate, table: DataFrame, folds: int = FOLDS) -> list:
+    """The fits of a cross-validation: fold k is fitted on everything before it."""
+    return [(candidate, table.filter(F.col("fold") < k)) for k in range(1, folds + 1)]
+
+
+def measure_folds(models: list[FittedModel], table: DataFrame) -> dict:
+    """Evaluate the k-th model on fold k; all folds are measured in one job."""
+    parts = [
+        model.score(table.filter(F.col("fold") == k)).select("fold", TARGET, "score")
+        for k, model in enumerate(models, start=1)
+    ]
     measured = ranking_metrics(reduce(DataFrame.unionByName, parts), keys=["fold"])
     rows = sorted(measured.collect(), key=lambda r: r["fold"])  # one row per fold
     out = {}
@@ -92,6 +103,11 @@ def cross_validate(candidate: Candidate, table: DataFrame, folds: int = FOLDS) -
     return out
 
 
+def cross_validate(candidate: Candidate, table: DataFrame, folds: int = FOLDS) -> dict:
+    """Temporal cross-validation over a table with a `fold` column."""
+    return measure_folds(fit_many(fold_work(candidate, table, folds)), table)
+
+
 def choose(results: Mapping[str, Mapping], dataset: DataFrame, tolerance: float) -> str:
     rows = [
         (rank, name, float(results[name][SELECTION_METRIC]))
@@ -113,9 +129,11 @@ def compare_models(
     threshold on validation; only then is the test cohort scored.
     """
     candidates = candidates or candidate_models(anchor)
-    split = materialize(three_way_split(materialize(dataset, "dataset")), "comparison")
+    split = three_way_split(materialize(dataset, "dataset", balanced=True))
     train, validation, test = (union_cohorts(split, [name]) for name in COHORTS)
-    folded = materialize(temporal_folds(union_cohorts(split, ["train", "validation"])), "folds")
+    folded = materialize(
+        temporal_folds(union_cohorts(split, ["train", "validation"])), "folds", balanced=True
+    )
     report = {
         "anchor": anchor,
         "alert_volume": ALERT_VOLUME,
@@ -130,10 +148,12 @@ def compare_models(
         "validation": {},
         "test": {},
     }
+    work = [[*fold_work(c, folded), (c, train)] for c in candidates.values()]
+    models = iter(fit_many([fit for fits in work for fit in fits]))
     fitted, thresholds = {}, {}
-    for name, candidate in candidates.items():
-        report["cross_validation"][name] = cross_validate(candidate, folded)
-        fitted[name] = candidate.fit(train)
+    for name in candidates:
+        report["cross_validation"][name] = measure_folds([next(models) for _ in range(FOLDS)], folded)
+        fitted[name] = next(models)
         scored = materialize(fitted[name].score(validation).select(TARGET, "score"), "validation")
         thresholds[name] = alert_threshold(scored).first()["threshold"]
         report["validation"][name] = one_row(classification_metrics(scored, thresholds[name]))

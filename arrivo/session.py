@@ -48,11 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/arrivo/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, balanced: bool = False) -> DataFrame:
     """Cut the lineage with a written table, which outlives any executor.
 
     Parquet rather than `checkpoint()`: readers keep column pruning and the optimizer sees the size.
+    `balanced` evens out the files (few for little data, no giant ones after a skewed join), which pays
+    for its exchange where a fit reads the table many times.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    (df.hint("rebalance") if balanced else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
