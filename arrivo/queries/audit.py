@@ -233,7 +233,6 @@ register(
     lambda b: profile.describe(base(b), NUMERIC_REVIEW),
     DESCRIBE,
     real=["mean", "std", "min", "p25", "p50", "p75", "max"],
-    digits=4,
     m_describe=union_all(
         f"""SELECT '{c}' AS columna, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,
   CAST(min({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25,
