@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Where intermediate tables go when the cluster names no checkpoint folder.
+SCRATCH_SETTING = "arrivo.scratch.dir"
+_local_scratch: list[str] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else started."""
@@ -36,16 +42,38 @@ def build_session(app_name: str = "arrivo", master: str | None = None, **setting
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: `spark.checkpoint.dir`, or a fresh one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="arrivo-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """Folder that driver and executors share.
+
+    `spark.checkpoint.dir` if the session names one, else `arrivo.scratch.dir`. Only a local master, where
+    everything runs in one process, may do without: it gets a temporary folder that goes with the process.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_SETTING, None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(
+            f"intermediate tables need a folder that all executors reach: set spark.checkpoint.dir or {SCRATCH_SETTING}"
+        )
+    if not _local_scratch:
+        _local_scratch.append(tempfile.mkdtemp(prefix="arrivo-"))
+        atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
+    return _local_scratch[0]
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/arrivo/{spark.conf.get('spark.app.id', 'session')}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/arrivo/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; call it when their results are written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame, name: str, balanced: bool = False) -> DataFrame:
