@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivo.llm import langid_gru, quality_mil, quality_rules
+from arrivo.llm import ann_tree, langid_gru, mixing, packing, quality_mil, quality_rules, token_orc
+from arrivo.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,3 +38,53 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return langid_gru.predict_documents(docs, langid_gru.fit(docs))
+
+
+@query
+def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    token_orc.write_ids(read(spark, sf_dir, "documents"), path)
+    return token_orc.digest(token_orc.read_ids(spark, path))
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, pieces = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixing.taken_words(documents, pieces).drop("row")
+
+
+# targets as least fixed point: the level is the largest of those that the sources, filled in order, leave
+SQL["op4_source_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  FROM documents),
+sources AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+  FROM sized GROUP BY source),
+weighed AS (SELECT *, CASE number % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight, 3.0::DOUBLE * source_size AS most FROM sources),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY most / weight, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+targets AS (SELECT *, least(most, weight * max(level) OVER ()) AS target FROM levels),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS words,
+    sum(d.size) OVER (PARTITION BY t.number ORDER BY substr(d.place, 1, 15), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS first
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(
+  greatest(least(first + size, words) - first, 0)
+  + greatest(least(first + source_size + size, words) - (first + source_size), 0)
+  + greatest(least(first + 2 * source_size + size, words) - (first + 2 * source_size), 0) AS BIGINT) AS taken
+FROM placed
+"""
+
+
+@query
+def op5_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(read(spark, sf_dir, "documents")))
+
+
+@query
+def op6_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.neighbours(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
