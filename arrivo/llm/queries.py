@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivo.llm import ann_tree, langid_gru, mixing, packing, quality_mil, quality_rules, token_orc
+from arrivo.llm import ann_tree, kneser_ney, langid_gru, mixing, packing, quality_mil, quality_rules, token_orc
 from arrivo.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op5_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.neighbours(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return kneser_ney.score_documents(docs, kneser_ney.fit(kneser_ney.training_rows(docs)))
