@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivo.llm import ann_tree, kneser_ney, langid_gru, mixing, packing, partenum, quality_mil, quality_rules, token_orc
+from arrivo.llm import ann_tree, kneser_ney, langid_gru, mixing, packing, partenum, pii_crf, quality_mil, quality_rules, token_orc
 from arrivo.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.Join(read(spark, sf_dir, "documents")).documents().select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii_crf.find_spans(docs, pii_crf.fit(docs))
