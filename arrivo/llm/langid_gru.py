@@ -229,3 +229,14 @@ def predict_documents(docs: DataFrame, model: Network | None) -> DataFrame:
 
     rows = docs.select("doc_id", (crc_fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text")
     return rows.mapInArrow(judge, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Network | None, doubt: float = 1.1) -> DataFrame:
+    """The rows, with all columns, whose language is known: not `und`, and likelier than `doubt` times a blind guess."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches):
+            names, score = predict(texts_of(part), model)
+            yield part.filter(pa.array((names != UNKNOWN) & (score * len(model.languages if model else []) >= doubt), pa.bool_()))
+
+    return docs.mapInArrow(judge, docs.schema)

@@ -81,14 +81,17 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     return ranked.select("slot", "number", F.col("before_one").alias("rank"))
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, weights=WEIGHTS) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, weights=WEIGHTS, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """The written table of documents (row, doc_id, source number, size, ...) and the pieces that the schedule takes.
 
+    `row` numbers the documents; without it they are numbered as they are written.
+
     A piece is a run of words of one document in one slot: slot, number, row, doc_id, first (word of the document),
     length. Ordered by slot the pieces are the mixed corpus.
     """
-    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), place("doc_id").alias("place"))
-    sized = materialize(base.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    number = F.monotonically_increasing_id() if row is None else row
+    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), place("doc_id").alias("place"), number.alias("row"))
+    sized = materialize(base, "sizes")
     targets = materialize(source_targets(sized, weights).coalesce(1), "targets")
     total = targets.agg(F.sum("words")).first()[0] or 0
     slots = materialize(schedule(targets, -(-total // block_words)), "schedule")
@@ -116,3 +119,19 @@ def taken_words(documents: DataFrame, pieces: DataFrame) -> DataFrame:
     joined = documents.join(taken, "row", "left")
     return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "row")
 
+
+
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, weights=WEIGHTS) -> DataFrame:
+    """The mixed corpus by documents: each row, with all columns, as often as the schedule takes its words.
+
+    Parts of a document are rounded to whole ones; only the last document of a source can be taken in part.
+    """
+    columns = docs.columns
+    number = "_row"
+    while number in columns:
+        number = f"_{number}"
+    stored = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    documents, pieces = mix(stored, block_words, weights, F.col(number))
+    copies = taken_words(documents, pieces).where("taken > 0").select("row", F.round(F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    repeats = copies.where("copies > 0").select(F.col("row").alias(number), F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).drop("_copy")
+    return stored.join(repeats, number).select(*columns)

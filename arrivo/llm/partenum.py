@@ -300,3 +300,18 @@ class Join:
         joined = s.join(m, (F.col("s.f1") == F.col("m.f1")) & (F.col("s.f2") == F.col("m.f2")) & (F.col("s.n") == F.col("m.n")), "left")
         own = F.when(F.col("s.n") > 0, F.col("m.component_id")).otherwise(F.col("s.doc_id"))
         return joined.select("s.doc_id", F.col("s.n").alias("n_shingles"), own.alias("component_id"), "m.group", "s.text_hash")
+
+
+def one_of_each(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """The rows, with all columns, of one document per component: the smallest id, and of its texts the smallest hash.
+
+    Documents with an empty set stay, each once.
+    """
+    found = Join(docs, width, threshold).documents()
+    best = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("_first"))
+    empty = found.where(F.col("group").isNull()).select("doc_id", "text_hash")
+    kept = best.select("_first.doc_id", "_first.text_hash").unionByName(empty).distinct()
+    kept = materialize(kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")), "kept")
+    key = F.xxhash64("text")
+    same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (key == kept["_kept_hash"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
