@@ -108,10 +108,12 @@ def value_bucket(value: str, steps: int = 1 << 14) -> Column:
     """Order-preserving bucket number of a double: `steps` equal slices per power of two.
 
     Needs no minimum or maximum, is not spoilt by outliers, and keeps each bucket to 1/steps of an
-    octave, whatever the scale of the data.
+    octave, whatever the scale of the data. Both infinities have a bucket of their own at the ends.
     """
     size, octave = f"abs({value})", f"floor(log2(abs({value})))"
     slot = f"(({octave} + 1100) * {steps} + floor(({size} / pow(2, {octave}) - 1) * {steps}))"
+    end = (1 << 12) * steps  # beyond the bucket of every finite number
     return F.expr(
-        f"CASE WHEN {value} = 0 THEN 0L WHEN {value} > 0 THEN {slot} ELSE -{slot} END"
+        f"CASE WHEN {value} = 0 THEN 0L WHEN {size} = double('inf') THEN if({value} > 0, {end}L, -{end}L)"
+        f" WHEN {value} > 0 THEN {slot} ELSE -{slot} END"
     )

@@ -60,9 +60,12 @@ def threshold_rates(counts: DataFrame) -> DataFrame:
 
 
 def score_counts(scored: DataFrame, label: str, score: str, keys: Sequence[str]) -> DataFrame:
+    """Rows per distinct score; a NaN score has no rank and stops the job."""
+    refused = F.raise_error(F.lit(f"{score} holds NaN, which cannot be ranked")).cast("double")
+    ranked = F.when(F.isnan(F.col(score).cast("double")), refused).otherwise(F.col(score).cast("double"))
     return (
         scored.filter(F.col(score).isNotNull())
-        .groupBy(*keys, F.col(score).alias("s"))
+        .groupBy(*keys, ranked.alias("s"))
         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
     )
 

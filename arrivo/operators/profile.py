@@ -94,22 +94,12 @@ def value_counts(df: DataFrame, column: str, keep_null: bool = False) -> DataFra
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min, exact quartiles and max per column."""
-    moments = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("columna"), F.col(c).cast("double").alias("v"))
-                    for c in columns
-                ]
-            )
-        ).alias("cell")
-    ).select("cell.*").groupBy("columna").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
+    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    cells = [
+        F.struct(F.lit(c).alias("columna"), *[f(F.col(c).cast("double")).alias(k) for k, f in kinds.items()])
+        for c in columns
+    ]
+    moments = df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("cell")).select("cell.*")
     quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return moments.join(quartiles, "columna", "left").select(
         "columna", "count", "mean", "std", "min", "p25", "p50", "p75", "max"

@@ -60,7 +60,9 @@ def quantiles_of_counts(
             f"filter(r, x -> {edge}({spot}) >= x.first AND {edge}({spot}) < x.first + x.n)[0].v"
             for edge in ("floor", "ceil")
         )
-        return f"{low} + ({high} - {low}) * ({spot} - floor({spot}))"
+        # a rank that is met needs no neighbour; between infinities the difference would be NaN
+        met = f"{spot} = floor({spot}) OR {low} = {high}"
+        return f"CASE WHEN {met} THEN {low} ELSE {low} + ({high} - {low}) * ({spot} - floor({spot})) END"
 
     return found.filter("n > 0").select(
         *keys, *[F.expr(interpolated(p)).alias(name) for p, name in zip(probs, names)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arrivo.operators.checks import row_counts
 from arrivo.schemas import FEATURE_TABLES, TABLES
@@ -32,8 +32,14 @@ def require_paths(spark: SparkSession, paths: Mapping[str, str]) -> None:
         raise FileNotFoundError(f"missing input: {', '.join(missing)}")
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN means missing, like an empty cell."""
+    reals = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    return df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in reals else F.col(c) for c in df.columns])
+
+
 def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return (
+    return without_nan(
         spark.read.schema(TABLES[name].schema)
         .option("header", True)
         .option("enforceSchema", False)  # a header that does not match the schema is an error
@@ -77,7 +83,7 @@ def load_parquet_tables(
     """Tables written by `ingest`."""
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in names}
     require_paths(spark, paths)
-    return {n: spark.read.schema(TABLES[n].schema).parquet(p) for n, p in paths.items()}
+    return {n: without_nan(spark.read.schema(TABLES[n].schema).parquet(p)) for n, p in paths.items()}
 
 
 def ingest(

@@ -16,14 +16,12 @@ from arrivo.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    folder = str(tmp_path_factory.mktemp("checkpoints"))
+def spark():
     session = build_session(
         "tests",
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": folder,
             "spark.driver.memory": "4g",
             "spark.log.level": "ERROR",
             "spark.ui.showConsoleProgress": "false",
