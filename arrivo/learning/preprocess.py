@@ -1,7 +1,8 @@
 """Imputation, scaling and encoding as plain column expressions, with statistics fitted on train.
 
-Fitting makes two distributed passes and brings back a few numbers per column plus the category
-lists, whose size is checked.
+What a fit needs to know of its rows is measured once for all columns (`Statistics`) and shared by all candidates. A
+category is a slot number: values are looked up in the learner's vocabulary, one expression per column however many
+values it has, and one-hot vectors are sparse.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,7 +18,6 @@ from arrivo.operators.quantiles import column_quantiles
 
 MISSING = "unknown"
 MIN_FREQUENCY = 20
-MAX_CATEGORIES = 10_000
 POOLED = "_infrequent_"
 
 
@@ -73,6 +74,32 @@ def moment_table(train: DataFrame, numeric: Sequence[str], medians: dict[str, fl
     return wide.select(F.explode("m").alias("r")).select("r.*")
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of a set of rows: medians, mean and deviation after imputation, category counts, rows per class."""
+
+    medians: dict[str, float]
+    moments: dict[str, tuple[float, float]]
+    counts: dict[str, dict[str, int]]
+    classes: dict[int, int]
+
+    @classmethod
+    def of(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str | None = None) -> "Statistics":
+        """Three passes over the rows; a few numbers per column and the vocabularies, which are part of the model, come back."""
+        numeric, categorical = list(numeric), list(categorical)
+        medians = {c: 0.0 for c in numeric}
+        if numeric:
+            medians |= {r["columna"]: r["mediana"] for r in median_table(train, numeric).collect()}
+        moments = {r["columna"]: (r["media"], r["desvio"] or 1.0) for r in moment_table(train, numeric, medians).collect()} if numeric else {}
+        # the label is counted like a category, in the same pass
+        counted = [*categorical, *([label] if label else [])]
+        counts: dict[str, dict[str, int]] = {c: {} for c in counted}
+        for r in category_counts(train, counted).orderBy("columna", "valor").collect() if counted else []:
+            counts[r["columna"]][r["valor"]] = r["n"]
+        classes = {int(v): n for v, n in counts.pop(label).items() if v != MISSING} if label else {}
+        return cls(medians, moments, counts, classes)
+
+
 @dataclass
 class Preprocessor:
     """Fitted statistics. `layout` is "onehot" for linear models and "ordinal" for trees."""
@@ -87,61 +114,49 @@ class Preprocessor:
     rare: dict[str, list[str]] = field(default_factory=dict)
 
     def fit(self, train: DataFrame) -> "Preprocessor":
-        if self.numeric:
-            self._fit_numeric(train)
-        if self.categorical:
-            self._fit_categorical(train)
+        return self.take(Statistics.of(train, self.numeric, self.categorical))
+
+    def take(self, known: Statistics) -> "Preprocessor":
+        """Fit from measured statistics, which may cover further columns."""
+        linear = self.layout == "onehot"
+        self.medians = {c: known.medians[c] for c in self.numeric}
+        self.scales = {c: known.moments[c] for c in self.numeric} if linear else {}
+        common = {c: {v: n for v, n in known.counts[c].items() if not linear or n >= self.min_frequency} for c in self.categorical}
+        self.categories = {c: list(common[c]) for c in self.categorical}
+        self.rare = {c: [v for v in known.counts[c] if v not in common[c]] for c in self.categorical}
         return self
 
-    def _fit_numeric(self, train: DataFrame) -> None:
-        rows = median_table(train, self.numeric).collect()  # one row per feature
-        self.medians = {c: 0.0 for c in self.numeric} | {r["columna"]: r["mediana"] for r in rows}
-        if self.layout == "onehot":
-            for r in moment_table(train, self.numeric, self.medians).collect():
-                self.scales[r["columna"]] = (r["media"], r["desvio"] or 1.0)
-
-    def _fit_categorical(self, train: DataFrame) -> None:
-        counts = category_counts(train, self.categorical)
-        for r in counts.groupBy("columna").count().collect():  # one row per feature
-            if r["count"] > MAX_CATEGORIES:
-                raise ValueError(f"{r['columna']} has {r['count']} values: not a categorical feature")
-        self.categories = {c: [] for c in self.categorical}
-        self.rare = {c: [] for c in self.categorical}
-        for r in counts.orderBy("columna", "valor").collect():  # at most MAX_CATEGORIES per column
-            common = self.layout != "onehot" or r["n"] >= self.min_frequency
-            (self.categories if common else self.rare)[r["columna"]].append(r["valor"])
-
-    def _text(self, c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
-
-    def _indicator(self, values: Sequence[str], c: str) -> Column:
-        return self._text(c).isin(list(values)).cast("double")
-
-    def _onehot(self) -> list[Column]:
-        out = []
-        for c in self.numeric:
-            mean, std = self.scales[c]
-            out.append((F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])) - mean) / std)
-        for c in self.categorical:
-            # a value never seen in training matches nothing: all zeros
-            out += [self._indicator([v], c) for v in self.categories[c]]
-            if self.rare[c]:
-                out.append(self._indicator(self.rare[c], c))
-        return out
-
-    def _ordinal(self) -> list[Column]:
-        out = []
-        for c in self.numeric:
-            out.append(F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])))
-            out.append(F.col(c).isNull().cast("double"))
+    def codes(self, df: DataFrame) -> DataFrame:
+        """Add `_code_<c>` per category: 1, 2 and so on by vocabulary, then one for pooled values; 0 if never seen."""
+        known = [c for c in self.categorical if self.categories[c] or self.rare[c]]
+        texts = {f"_text_{c}": F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in known}
+        out = df.withColumns(texts) if texts else df
+        if known:
+            labels = [[*self.categories[c], *self.rare[c]] for c in known]
+            names = [f"_text_{c}" for c in known]
+            # values are found by hash, whatever their number
+            finder = StringIndexerModel.from_arrays_of_labels(labels, names, [f"_at_{c}" for c in known], "keep")
+            out = finder.transform(out)
+        slots = {}
         for c in self.categorical:
-            # category codes start at 1, values never seen get 0
-            codes = F.array(*[F.lit(v) for v in self.categories[c]])
-            out.append(F.array_position(codes, self._text(c)).cast("double"))
-        return out
+            at, common = F.col(f"_at_{c}"), len(self.categories[c])
+            every = common + len(self.rare[c])
+            slots[f"_code_{c}"] = F.when(at < every, F.least(at, F.lit(float(common))) + 1).otherwise(0.0) if every else F.lit(0.0)
+        drop = [name for c in known for name in (f"_text_{c}", f"_at_{c}")]
+        return (out.withColumns(slots) if slots else out).drop(*drop)
+
+    def _filled(self, c: str) -> Column:
+        return F.coalesce(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), F.lit(self.medians[c]))
+
+    def _numbers(self) -> list[Column]:
+        if self.layout == "onehot":
+            return [(self._filled(c) - self.scales[c][0]) / self.scales[c][1] for c in self.numeric]
+        # a number and whether it was missing
+        return [x for c in self.numeric for x in (self._filled(c), F.col(c).isNull().cast("double"))]
 
-    def cells(self) -> list[Column]:
-        return self._onehot() if self.layout == "onehot" else self._ordinal()
+    def width(self, c: str) -> int:
+        """Slots of a category in the one-hot layout."""
+        return len(self.categories[c]) + bool(self.rare[c])
 
     def slot_metadata(self) -> dict:
         """Marks the coded columns of the ordinal layout as categories for the tree learner."""
@@ -155,7 +170,32 @@ class Preprocessor:
         return {"ml_attr": {"attrs": attrs, "num_attrs": len(numeric) + len(nominal)}}
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        return df.withColumn(out, array_to_vector(F.array(*self.cells())))
+        """Add the feature vector; a value never seen in training has all zeros in the one-hot layout."""
+        coded, numbers = self.codes(df), self._numbers()
+        codes = [f"_code_{c}" for c in self.categorical]
+        if self.layout == "ordinal":
+            vector = array_to_vector(F.array(*numbers, *[F.col(c) for c in codes]))
+            return coded.withColumn(out, vector).drop(*codes)
+        parts = []
+        if numbers:
+            # the declared size spares the assembler a look at the rows, which a stream does not allow
+            sized = {"ml_attr": {"num_attrs": len(numbers)}}
+            coded = coded.withColumn("_numbers", array_to_vector(F.array(*numbers)).alias("_numbers", metadata=sized))
+            parts.append("_numbers")
+        hot = [c for c in self.categorical if self.width(c)]
+        if hot:
+            # the encoder leaves out the last slot, which the code of unseen values is turned into
+            slots = {}
+            for c in hot:
+                slot = F.when(F.col(f"_code_{c}") > 0, F.col(f"_code_{c}") - 1).otherwise(float(self.width(c)))
+                nominal = {"type": "nominal", "num_vals": self.width(c) + 1, "name": c}
+                slots[c] = slot.alias(f"_slot_{c}", metadata={"ml_attr": nominal})
+            coded = coded.select("*", *slots.values())
+            encoder = OneHotEncoder(inputCols=[f"_slot_{c}" for c in hot], outputCols=[f"_hot_{c}" for c in hot], dropLast=True)
+            coded = encoder.fit(coded).transform(coded)  # sizes come from the metadata: no pass over the rows
+            parts += [f"_hot_{c}" for c in hot]
+        joined = VectorAssembler(inputCols=parts, outputCol=out).transform(coded)
+        return joined.drop(*parts, *codes, *[f"_slot_{c}" for c in hot])
 
     def to_dict(self) -> dict:
         return asdict(self)

@@ -1,30 +1,33 @@
-"""Baseline run, temporal cross-validation and model comparison."""
+"""Baseline run, temporal cross-validation and model comparison, reported as long tables.
+
+All candidates are fitted on the same five parts of the past (what lies before each fold, and the train cohort). What
+the fits need to know of a part (medians, moments, category counts, class sizes) is measured once per part for the
+columns of all candidates. Scores of all candidates and cohorts are one written table, and every metric of the
+comparison comes out of one job over it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from arrivo.learning.models import (
-    Candidate,
-    FittedModel,
-    baseline_candidate,
-    candidate_models,
-    fit_many,
-)
+from arrivo.learning.models import Candidate, FittedModel, baseline_candidate, candidate_models, fit_parts
 from arrivo.operators.label import build_target, compare_label_rules
 from arrivo.operators.metrics import (
     ALERT_VOLUME,
-    alert_threshold,
+    THRESHOLD,
     classification_metrics,
+    confusion,
     label_rates,
     ranking_metrics,
+    threshold_rates,
 )
+from arrivo.operators.quantiles import quantiles
 from arrivo.operators.risk import MAIN_CANDIDATES, SELECTION_TOLERANCE, select_model
 from arrivo.operators.temporal import (
-    COHORTS,
     FOLDS,
     TEST_FRACTION,
     cohort_periods,
@@ -34,11 +37,12 @@ from arrivo.operators.temporal import (
     three_way_split,
     union_cohorts,
 )
-from arrivo.plans.features import build_features_from, feature_columns
+from arrivo.plans.features import build_features_from
 from arrivo.schemas import DEFAULT_ANCHOR, STUDY_PERIOD, TARGET
 from arrivo.session import materialize
 
 SELECTION_METRIC = "pr_auc"
+MEASURED = ("n", "positive_rate", "precision", "recall", "f1", "threshold", "roc_auc", "pr_auc")
 
 
 def one_row(df: DataFrame) -> dict:
@@ -51,70 +55,87 @@ def build_baseline_table(
     return build_features_from(tables, build_target(tables["orders"], period=period), anchor)
 
 
+def in_rows(measured: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:
+    """One row (keys, metrica, valor) per measured column."""
+    cells = [F.struct(F.lit(c).alias("metrica"), F.col(c).cast("double").alias("valor")) for c in columns]
+    return measured.select(*keys, F.explode(F.array(*cells)).alias("m")).select(*keys, "m.*")
+
+
+@dataclass(frozen=True)
+class BaselineRun:
+    """The fitted baseline, the cohorts it was split into, and its measures."""
+
+    anchor: str
+    model: FittedModel
+    periods: DataFrame  # one row per cohort
+    scored: DataFrame  # label and score of the test cohort
+    rules: DataFrame  # late rate under both label rules, one row
+
+    def metrics(self) -> DataFrame:
+        """(cohort, metrica, valor): sizes, rates and periods' ends of both cohorts, quality on the test cohort."""
+        quality = classification_metrics(self.scored, THRESHOLD).withColumn("cohort", F.lit("test"))
+        sizes = in_rows(self.periods.withColumnRenamed("n", "rows"), ["cohort"], ["rows", "late_rate"])
+        rules = self.rules.withColumn("cohort", F.lit("all"))
+        return sizes.unionByName(in_rows(quality, ["cohort"], MEASURED)).unionByName(
+            in_rows(rules, ["cohort"], ["tasa_dia", "tasa_fecha_y_hora"])
+        )
+
+
 def run_baseline(
     tables: Mapping[str, DataFrame],
     test_fraction: float = TEST_FRACTION,
     anchor: str = DEFAULT_ANCHOR,
     period: tuple[str, str] = STUDY_PERIOD,
-) -> dict:
+) -> BaselineRun:
     """Fit the baseline on the past, measure it on the last `test_fraction`."""
     table = materialize(build_baseline_table(tables, anchor, period), "baseline", balanced=True)
-    cutoff = temporal_cutoff(table, test_fraction)
-    split = temporal_split(table, cutoff)
-    train, test = (union_cohorts(split, [name]) for name in ("train", "test"))
-    model = baseline_candidate(anchor).fit(train)
-    scored = materialize(model.score(test).select(TARGET, "score"), "baseline-scores")
-    cohorts = {r["cohort"]: r.asDict() for r in cohort_periods(split).collect()}  # two rows
-    rules = one_row(label_rates(compare_label_rules(tables["orders"], True, period=period)))
-    sizes = {name: c["n"] for name, c in cohorts.items()}
-    late = sum(c["n"] * c["late_rate"] for c in cohorts.values()) / sum(sizes.values())
-    return {
-        "anchor": anchor,
-        "features": feature_columns(anchor),
-        "cutoff": str(cutoff.date()),
-        "train_period": [str(cohorts["train"]["desde"]), str(cohorts["train"]["hasta"])],
-        "test_period": [str(cohorts["test"]["desde"]), str(cohorts["test"]["hasta"])],
-        "train_size": sizes["train"],
-        "train_positive_rate": cohorts["train"]["late_rate"],
-        "late_rate_all_delivered": late,
-        "late_rate_timestamp_comparison": rules["tasa_fecha_y_hora"],
-        "test_metrics": one_row(classification_metrics(scored)),
-    }
-
-
-def fold_work(candidate: Candidate, table: DataFrame, folds: int = FOLDS) -> list:
-    """The fits of a cross-validation: fold k is fitted on everything before it."""
-    return [(candidate, table.filter(F.col("fold") < k)) for k in range(1, folds + 1)]
-
-
-def measure_folds(models: list[FittedModel], table: DataFrame) -> dict:
-    """Evaluate the k-th model on fold k; all folds are measured in one job."""
-    parts = [
-        model.score(table.filter(F.col("fold") == k)).select("fold", TARGET, "score")
-        for k, model in enumerate(models, start=1)
-    ]
-    measured = ranking_metrics(reduce(DataFrame.unionByName, parts), keys=["fold"])
-    rows = sorted(measured.collect(), key=lambda r: r["fold"])  # one row per fold
-    out = {}
-    for metric in ("roc_auc", "pr_auc"):
-        values = [r[metric] for r in rows]
-        out[f"{metric}_folds"] = [round(v, 4) for v in values]
-        out[metric] = sum(values) / len(values)
-    return out
-
-
-def cross_validate(candidate: Candidate, table: DataFrame, folds: int = FOLDS) -> dict:
-    """Temporal cross-validation over a table with a `fold` column."""
-    return measure_folds(fit_many(fold_work(candidate, table, folds)), table)
-
-
-def choose(results: Mapping[str, Mapping], dataset: DataFrame, tolerance: float) -> str:
-    rows = [
-        (rank, name, float(results[name][SELECTION_METRIC]))
-        for rank, name in enumerate(n for n in MAIN_CANDIDATES if n in results)
-    ]
-    table = dataset.sparkSession.createDataFrame(rows, f"rank int, modelo string, {SELECTION_METRIC} double")
-    return select_model(table, tolerance, SELECTION_METRIC).first()["modelo"]
+    split = temporal_split(table, temporal_cutoff(table, test_fraction))
+    model = baseline_candidate(anchor).fit(union_cohorts(split, ["train"]))
+    scored = model.score(union_cohorts(split, ["test"])).select(TARGET, "score")
+    rules = label_rates(compare_label_rules(tables["orders"], True, period=period))
+    return BaselineRun(anchor, model, cohort_periods(split), materialize(scored, "baseline-scores"), rules)
+
+
+def scored_by(models: Mapping[str, FittedModel], part: DataFrame, cohort: str) -> DataFrame:
+    """(modelo, cohorte, label, score) of one cohort under all models."""
+    found = [m.score(part).select(F.lit(name).alias("modelo"), F.lit(cohort).alias("cohorte"), TARGET, "score") for name, m in models.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+@dataclass(frozen=True)
+class Comparison:
+    """Models fitted on the train cohort, scores of every cohort, and what was chosen from the past alone."""
+
+    fitted: dict[str, FittedModel]
+    scored: DataFrame
+    cohorts: DataFrame
+    tolerance: float
+
+    def rankings(self) -> DataFrame:
+        """(modelo, cohorte, roc_auc, pr_auc); the cohorts of the cross-validation are fold1, fold2 and so on."""
+        return ranking_metrics(self.scored, keys=["modelo", "cohorte"])
+
+    def cross_validation(self) -> DataFrame:
+        """(modelo, roc_auc, pr_auc) averaged over the folds."""
+        folds = self.rankings().where("cohorte LIKE 'fold%'")
+        return folds.groupBy("modelo").agg(*[F.avg(m).alias(m) for m in ("roc_auc", "pr_auc")])
+
+    def thresholds(self) -> DataFrame:
+        """(modelo, threshold): the alert volume on the validation cohort."""
+        return quantiles(self.scored.where("cohorte = 'validation'"), "score", [1 - ALERT_VOLUME], ["modelo"], ["threshold"])
+
+    def choice(self) -> DataFrame:
+        """(modelo, threshold) of the simplest candidate within the tolerance of the best."""
+        order = F.array_position(F.array(*[F.lit(n) for n in MAIN_CANDIDATES]), F.col("modelo"))
+        ranked = self.cross_validation().withColumn("rank", order).where("rank > 0")
+        return select_model(ranked, self.tolerance, SELECTION_METRIC).select("modelo").join(self.thresholds(), "modelo")
+
+    def metrics(self) -> DataFrame:
+        """(modelo, cohorte, metrica, valor) of all candidates; later cohorts change nothing about the choice."""
+        later = self.scored.where("cohorte NOT LIKE 'fold%'").join(self.thresholds(), "modelo")
+        rates = threshold_rates(confusion(later, F.col("threshold"), keys=["modelo", "cohorte", "threshold"]))
+        keys = ["modelo", "cohorte"]
+        return in_rows(self.rankings(), keys, ["roc_auc", "pr_auc"]).unionByName(in_rows(rates, keys, MEASURED[:-2]))
 
 
 def compare_models(
@@ -122,44 +143,20 @@ def compare_models(
     anchor: str = DEFAULT_ANCHOR,
     candidates: Mapping[str, Candidate] | None = None,
     tolerance: float = SELECTION_TOLERANCE,
-) -> tuple[dict, dict[str, FittedModel]]:
-    """Choose on the past, then report the test cohort as a diagnosis that changes nothing.
+    folds: int = FOLDS,
+) -> Comparison:
+    """Choose on the past, then measure the test cohort, which decides nothing.
 
-    Cross-validation on train + validation picks the model; a fit on train fixes each alert
-    threshold on validation; only then is the test cohort scored.
+    Cross-validation on train + validation picks the model; a fit on train is scored on validation, where its alert
+    threshold comes from, and on test.
     """
     candidates = candidates or candidate_models(anchor)
-    split = three_way_split(materialize(dataset, "dataset", balanced=True))
-    train, validation, test = (union_cohorts(split, [name]) for name in COHORTS)
-    folded = materialize(
-        temporal_folds(union_cohorts(split, ["train", "validation"])), "folds", balanced=True
-    )
-    report = {
-        "anchor": anchor,
-        "alert_volume": ALERT_VOLUME,
-        "selection": {
-            "metric": SELECTION_METRIC,
-            "tolerance": tolerance,
-            "cv_folds": FOLDS,
-            "candidates": [n for n in MAIN_CANDIDATES if n in candidates],
-        },
-        "cohorts": {r["cohort"]: r.asDict() for r in cohort_periods(split).collect()},  # three rows
-        "cross_validation": {},
-        "validation": {},
-        "test": {},
-    }
-    work = [[*fold_work(c, folded), (c, train)] for c in candidates.values()]
-    models = iter(fit_many([fit for fits in work for fit in fits]))
-    fitted, thresholds = {}, {}
-    for name in candidates:
-        report["cross_validation"][name] = measure_folds([next(models) for _ in range(FOLDS)], folded)
-        fitted[name] = next(models)
-        scored = materialize(fitted[name].score(validation).select(TARGET, "score"), "validation")
-        thresholds[name] = alert_threshold(scored).first()["threshold"]
-        report["validation"][name] = one_row(classification_metrics(scored, thresholds[name]))
-    report["selected_model"] = choose(report["cross_validation"], dataset, tolerance)
-    report["selected_threshold"] = thresholds[report["selected_model"]]
-    for name, model in fitted.items():
-        scored = materialize(model.score(test).select(TARGET, "score"), "test")
-        report["test"][name] = one_row(classification_metrics(scored, thresholds[name]))
-    return report, fitted
+    needed = sorted({c for candidate in candidates.values() for c in candidate.columns})
+    split = three_way_split(materialize(dataset.select("order_id", "prediction_time", TARGET, *needed), "dataset", balanced=True))
+    folded = materialize(temporal_folds(union_cohorts(split, ["train", "validation"])), "folds", balanced=True)
+    parts = {f"fold{k}": folded.where(F.col("fold") < k) for k in range(1, folds + 1)}
+    fitted = fit_parts(candidates, parts | {"train": union_cohorts(split, ["train"])})
+    measured = [scored_by(fitted[f"fold{k}"], folded.where(F.col("fold") == k), f"fold{k}") for k in range(1, folds + 1)]
+    measured += [scored_by(fitted["train"], union_cohorts(split, [c]), c) for c in ("validation", "test")]
+    scored = materialize(reduce(DataFrame.unionByName, measured), "scores")
+    return Comparison(fitted["train"], scored, cohort_periods(split), tolerance)

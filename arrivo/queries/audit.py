@@ -10,7 +10,7 @@ from arrivo.plans.view import analytic_view
 from arrivo.queries.binding import BINDERS, EXTRA_TRANSLATIONS, PERIOD, STAR_BOX
 from arrivo.queries.features import base, labelled
 from arrivo.queries.registry import register
-from arrivo.plans.features import feature_columns
+from arrivo.plans.features import inputs_of
 from arrivo.schemas import TABLES
 
 # expectations that hold at one scale only; elsewhere `ok` is false on both sides
@@ -174,8 +174,8 @@ register(
 )
 register(
     "null_profile_features",
-    lambda b: profile.null_profile(base(b), feature_columns()),
-    nulls_sql("m_features", feature_columns()),
+    lambda b: profile.null_profile(base(b), inputs_of()),
+    nulls_sql("m_features", inputs_of()),
 )
 REALS = ("approval_hours", "total_price", "total_freight", "total_weight_g", "total_volume_cm3", "freight_ratio")
 register(

@@ -111,6 +111,27 @@ def geolocation(spark, d) -> DataFrame:
     )
 
 
+def placed(rows: DataFrame, *keep: str) -> DataFrame:
+    """What an order row says by itself, before anything is shipped; also for a stream of such rows."""
+    return rows.selectExpr(
+        "*",
+        "cast(round(o_totalprice * 100) AS bigint) AS cents",
+        "8 * cast(substr(o_orderpriority, 1, 1) AS int) - 8 + cast(o_custkey % 13 AS int) AS promise",
+    ).selectExpr(
+        "*", "o_orderdate + make_dt_interval(0, 0, 0, cast(cents % 86400 AS decimal(18, 6))) AS bought"
+    ).selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CASE WHEN o_orderstatus IN ('F', 'O') THEN 'delivered' ELSE 'shipped' END AS order_status",
+        "bought AS order_purchase_timestamp",
+        "CASE WHEN o_totalprice >= 5000 THEN bought + make_dt_interval(0, 0, 0,"
+        " cast((cents * 1000 % 172800000) / 1000.0 AS decimal(18, 6))) END AS order_approved_at",
+        "o_orderdate + make_dt_interval(promise) AS order_estimated_delivery_date",
+        "cents",
+        *keep,
+    )
+
+
 def orders(spark, d) -> DataFrame:
     shipped = (
         read(spark, d, "lineitem")
@@ -118,31 +139,21 @@ def orders(spark, d) -> DataFrame:
         .agg(F.max("l_shipdate").alias("shipped"))
     )
     dated = (
-        read(spark, d, "orders")
-        .join(shipped, "o_orderkey", "left")
-        .selectExpr(
-            "*",
-            "cast(round(o_totalprice * 100) AS bigint) AS cents",
-            "pmod(datediff(shipped, o_orderdate), 45) AS m",
-        )
-        .selectExpr(
-            "*",
-            "o_orderdate + make_dt_interval(0, 0, 0, cast(cents % 86400 AS decimal(18, 6))) AS bought",
-            "2 + m * m div 60 AS trip",
-            "8 * cast(substr(o_orderpriority, 1, 1) AS int) - 8 + cast(o_custkey % 13 AS int) AS promise",
-        )
+        placed(read(spark, d, "orders"), "o_orderdate")
+        .join(shipped, F.col("order_id") == F.col("o_orderkey"), "left")
+        .selectExpr("*", "pmod(datediff(shipped, o_orderdate), 45) AS m", "order_purchase_timestamp AS bought")
+        .selectExpr("*", "2 + m * m div 60 AS trip")
     )
     return dated.selectExpr(
-        "o_orderkey AS order_id",
-        "o_custkey AS customer_id",
-        "CASE WHEN o_orderstatus IN ('F', 'O') THEN 'delivered' ELSE 'shipped' END AS order_status",
-        "bought AS order_purchase_timestamp",
-        "CASE WHEN o_totalprice >= 5000 THEN bought + make_dt_interval(0, 0, 0,"
-        " cast((cents * 1000 % 172800000) / 1000.0 AS decimal(18, 6))) END AS order_approved_at",
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_approved_at",
         "bought + make_dt_interval(cast(1 + trip div 3 AS int)) AS order_delivered_carrier_date",
         "o_orderdate + make_dt_interval(cast(trip AS int), 0, 0, cast(cents * 7 % 86400 AS decimal(18, 6)))"
         " AS order_delivered_customer_date",
-        "o_orderdate + make_dt_interval(promise) AS order_estimated_delivery_date",
+        "order_estimated_delivery_date",
     )
 
 

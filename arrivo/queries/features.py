@@ -24,7 +24,7 @@ def base(b, anchor="aprobacion"):
 
 
 def context(b):
-    return builders.FeatureContext(base(b), b, b.regions(), BOX, moments=moments(b))
+    return builders.Inputs(b, moments(b), b.regions(), BOX)
 
 
 def dataset(b):
