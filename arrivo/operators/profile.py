@@ -123,5 +123,6 @@ def top_rows(df: DataFrame, by: str, k: int, ties: Sequence[str], columns: Seque
 
 
 def seeded_sample(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
-    """k rows in an order fixed by key and seed, whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(k)
+    """k rows in an order fixed by key and seed, whatever the partitioning; other engines can repeat it."""
+    place = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}")).cast("binary"))
+    return df.orderBy(place, key).limit(k)

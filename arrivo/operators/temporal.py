@@ -63,6 +63,20 @@ def three_way_cutoffs(
     return temporal_cutoff(earlier, validation_fraction, time), test_start
 
 
+def three_way_table(
+    table: DataFrame,
+    test_fraction: float = TEST_FRACTION,
+    validation_fraction: float = VALIDATION_FRACTION,
+    time: str = PREDICTION_TIME,
+) -> DataFrame:
+    """The same cutoffs as one row; empty where there is nothing to cut."""
+    last = cutoff_table(table, test_fraction, time)
+    earlier = table.withColumn("_cut", last.scalar()).filter(F.col(time) < F.col("_cut")).drop("_cut")
+    return cutoff_table(earlier, validation_fraction, time).select(
+        F.col("cutoff").alias("validation_start"), last.scalar().alias("test_start")
+    )
+
+
 def three_way_split(
     table: DataFrame,
     test_fraction: float = TEST_FRACTION,

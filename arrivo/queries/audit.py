@@ -13,8 +13,14 @@ from arrivo.queries.registry import register
 from arrivo.plans.features import inputs_of
 from arrivo.schemas import TABLES
 
-# expectations that hold at one scale only; elsewhere `ok` is false on both sides
-EXPECTED = {"sellers": 100, "orders": 15000, "items": 60000, "products": 1}
+# rows expected of a table: those of the file behind it; one expectation is off on purpose, so that a check fails
+EXPECTED_FROM = {"sellers": ("supplier", 0), "orders": ("orders", 0), "items": ("lineitem", 0), "products": ("part", 1)}
+
+
+def expected_rows(b) -> dict[str, int]:
+    return {name: b.raw(file).count() + off for name, (file, off) in EXPECTED_FROM.items()}
+
+
 NUMERIC_REVIEW = (
     "promised_days",
     "approval_hours",
@@ -40,11 +46,11 @@ register(
 )
 register(
     "check_row_counts",
-    lambda b: checks.check_row_counts(b.all(), EXPECTED),
+    lambda b: checks.check_row_counts(b.all(), expected_rows(b)),
     union_all(
-        f"SELECT '{n}' AS tabla, CAST({x} AS BIGINT) AS esperado, count(*) AS obtenido, count(*) = {x} AS ok"
-        f" FROM m_{n}"
-        for n, x in EXPECTED.items()
+        f"SELECT '{n}' AS tabla, (SELECT count(*) + {off} FROM {file}) AS esperado, count(*) AS obtenido,"
+        f" count(*) = (SELECT count(*) + {off} FROM {file}) AS ok FROM m_{n}"
+        for n, (file, off) in EXPECTED_FROM.items()
     ),
 )
 
@@ -62,15 +68,26 @@ register(
     lambda b: checks.check_keys(b.all()),
     union_all(key_sql(n, TABLES[n].key) for n in TABLES if TABLES[n].key),
 )
+def orphans_sql(views: dict[str, str]) -> str:
+    return union_all(
+        f"SELECT '{n}.{c}' AS prueba, count(*) AS huerfanos, count(*) = 0 AS ok FROM {views.get(n, f'm_{n}')} a"
+        f" LEFT JOIN {views.get(p, f'm_{p}')} p ON p.{c} = a.{c} WHERE p.{c} IS NULL"
+        for n in TABLES
+        for c, p in TABLES[n].references
+    )
+
+
+ORPHANS_SQL = orphans_sql({})
 register(
     "check_references",
     lambda b: checks.check_references(b.all()),
-    union_all(
-        f"SELECT '{n}.{c}' AS prueba, count(*) AS huerfanos, count(*) = 0 AS ok FROM m_{n} a"
-        f" LEFT JOIN m_{p} p ON p.{c} = a.{c} WHERE p.{c} IS NULL"
-        for n in TABLES
-        for c, p in TABLES[n].references
-    ),
+    ORPHANS_SQL,
+)
+SOME_SELLERS = "seller_id % 5 <> 0"
+register(
+    "check_references_broken",
+    lambda b: checks.check_references(dict(b.all()) | {"sellers": b["sellers"].where(SOME_SELLERS)}),
+    orphans_sql({"sellers": f"(SELECT * FROM m_sellers WHERE {SOME_SELLERS})"}),
 )
 REQUIRED_SQL = union_all(
     f"SELECT '{n}' AS tabla, '{c}' AS columna, count(*) - count({c}) AS nulos, count(*) = count({c}) AS ok"
@@ -107,39 +124,77 @@ def bound_star(b):
     return star.build_star(b.all(), EXTRA_TRANSLATIONS, STAR_BOX)
 
 
-SUMS_SQL = """SELECT 'precio por item' AS prueba, sum(price) AS obtenido, sum(price) AS esperado, true AS ok
-FROM m_items
-UNION ALL SELECT 'pagos por orden', sum(payment_value), sum(payment_value), true FROM m_payments
-UNION ALL SELECT 'precio por orden', sum(price), sum(price), true FROM m_items"""
-register(
-    "sum_reconciliation",
-    lambda b: checks.check_sums(star.star_sums(bound_star(b), b)),
-    SUMS_SQL,
-    real=["obtenido", "esperado"],
-    digits=1,
-)
-register(
-    "fan_out_check",
-    lambda b: checks.check_fan_out(bound_star(b)["items_flat"], b["items"], "items_flat filas"),
-    "SELECT 'items_flat filas' AS prueba, count(*) AS obtenido, count(*) AS esperado, true AS ok FROM m_items",
-)
-register(
-    "star_checks",
-    lambda b: star.check_star(bound_star(b), b),
-    union_all(
-        f"SELECT '{n}' AS prueba, true AS ok"
-        for n in (
-            "items_flat filas",
-            "fact_orders clave",
-            "dim_products clave",
-            "dim_customers clave",
-            "dim_sellers clave",
-            "precio por item",
-            "pagos por orden",
-            "precio por orden",
-        )
-    ),
-)
+# The star is held against its own sources, and against sources that lost the first item of every order: the second
+# comparison has to fail wherever items count.
+LATER_ITEMS = "order_item_id > 1"
+
+
+def short_of_items(b) -> dict:
+    return dict(b.all()) | {"items": b["items"].where(LATER_ITEMS)}
+
+
+def sums_sql(items: str) -> str:
+    """Totals of the star, recomputed order by order, against those of the source."""
+    sides = {
+        "precio por item": ("m_star_items", "price", items, "price"),
+        "pagos por orden": ("m_star_orders", "paid", "m_payments", "payment_value"),
+        "precio por orden": ("m_star_orders", "price", items, "price"),
+    }
+    return union_all(
+        f"SELECT '{n}' AS prueba, a AS obtenido, e AS esperado, abs(a - e) <= 0.00001 * abs(e) AS ok"
+        f" FROM (SELECT (SELECT sum({c}) FROM {t}) AS a, (SELECT sum({d}) FROM {u}) AS e)"
+        for n, (t, c, u, d) in sides.items()
+    )
+
+
+STAR_SQL = {
+    "m_star_items": """SELECT i.* FROM m_items i JOIN m_orders o ON o.order_id = i.order_id
+  LEFT JOIN m_customers c ON c.customer_id = o.customer_id""",
+    "m_star_orders": """SELECT o.order_id, i.price, p.paid FROM m_orders o
+  LEFT JOIN (SELECT order_id, sum(price) AS price FROM m_items GROUP BY 1) i ON i.order_id = o.order_id
+  LEFT JOIN (SELECT order_id, sum(payment_value) AS paid FROM m_payments GROUP BY 1) p ON p.order_id = o.order_id""",
+    "m_later_items": f"SELECT * FROM m_items WHERE {LATER_ITEMS}",
+}
+UNIQUE = {"fact_orders": ("m_star_orders", "order_id"), "dim_products": ("m_products", "product_id"), "dim_customers": ("m_customers", "customer_id"), "dim_sellers": ("m_sellers", "seller_id")}
+
+
+def fan_out_sql(items: str) -> str:
+    return (
+        "SELECT 'items_flat filas' AS prueba, a AS obtenido, e AS esperado, a = e AS ok"
+        f" FROM (SELECT (SELECT count(*) FROM m_star_items) AS a, (SELECT count(*) FROM {items}) AS e)"
+    )
+
+
+def star_sql(items: str) -> str:
+    unique = [
+        f"SELECT '{n} clave' AS prueba, (SELECT count(*) = count(DISTINCT {key}) FROM {view}) AS ok"
+        for n, (view, key) in UNIQUE.items()
+    ]
+    rest = [f"SELECT prueba, ok FROM ({text})" for text in (fan_out_sql(items), sums_sql(items))]
+    return union_all([*unique, *rest])
+
+
+for suffix, sources, view in (("", lambda b: b, "m_items"), ("_broken", short_of_items, "m_later_items")):
+    register(
+        f"sum_reconciliation{suffix}",
+        lambda b, s=sources: checks.check_sums(star.star_sums(bound_star(b), s(b))),
+        sums_sql(view),
+        real=["obtenido", "esperado"],
+        digits=0,
+        **STAR_SQL,
+    )
+    register(
+        f"fan_out_check{suffix}",
+        lambda b, s=sources: checks.check_fan_out(bound_star(b)["items_flat"], s(b)["items"], "items_flat filas"),
+        fan_out_sql(view),
+        **STAR_SQL,
+    )
+    register(
+        f"star_checks{suffix}",
+        lambda b, s=sources: star.check_star(bound_star(b), s(b)),
+        star_sql(view),
+        **STAR_SQL,
+    )
 register(
     "checks_verdict",
     lambda b: checks.verdict(
@@ -151,10 +206,12 @@ register(
         }
     ),
     """SELECT 'claves' AS prueba, (SELECT bool_and(ok) FROM m_keys) AS ok
-UNION ALL SELECT 'huerfanos', true UNION ALL SELECT 'obligatorias', (SELECT bool_and(ok) FROM m_required)
-UNION ALL SELECT 'periodo', true""",
+UNION ALL SELECT 'huerfanos', (SELECT bool_and(ok) FROM m_orphans)
+UNION ALL SELECT 'obligatorias', (SELECT bool_and(ok) FROM m_required)
+UNION ALL SELECT 'periodo', (SELECT count(*) > 0 FROM m_labelled)""",
     m_keys=union_all(key_sql(n, TABLES[n].key) for n in TABLES if TABLES[n].key),
     m_required=REQUIRED_SQL,
+    m_orphans=ORPHANS_SQL,
 )
 
 
@@ -178,19 +235,52 @@ register(
     nulls_sql("m_features", inputs_of()),
 )
 REALS = ("approval_hours", "total_price", "total_freight", "total_weight_g", "total_volume_cm3", "freight_ratio")
+
+
+def odd(b):
+    """The features with both infinities and with unknown prices, by the size of the cart."""
+    price = F.when(F.col("n_items") == 1, float("inf")).when(F.col("n_items") == 2, -float("inf"))
+    return base(b).withColumn("total_price", price.when(F.col("n_items") != 3, F.col("total_price")))
+
+
+ODD = {
+    "m_odd": """SELECT * REPLACE (CASE n_items WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE WHEN 3 THEN NULL
+  ELSE total_price END AS total_price) FROM m_features"""
+}
 register(
     "infinity_profile",
-    lambda b: profile.infinity_profile(base(b)),
+    lambda b: profile.infinity_profile(odd(b)),
     union_all(
-        f"SELECT '{c}' AS columna, count(*) FILTER (WHERE isinf({c})) AS cantidad_infinitos FROM m_features"
+        f"SELECT '{c}' AS columna, count(*) FILTER (WHERE isinf({c})) AS cantidad_infinitos FROM m_odd"
         for c in REALS
     ),
+    **ODD,
 )
+register(
+    "describe_infinities",
+    lambda b: profile.describe(odd(b), ["total_price"]).select("columna", "count", "min", "p25", "p50", "p75", "max"),
+    """SELECT 'total_price' AS columna, count(total_price) AS count, min(total_price) AS min,
+  quantile_cont(total_price, 0.25) AS p25, quantile_cont(total_price, 0.5) AS p50,
+  quantile_cont(total_price, 0.75) AS p75, max(total_price) AS max FROM m_odd""",
+    real=["min", "p25", "p50", "p75", "max"],
+    **ODD,
+)
+def duplicates(b):
+    """Whole rows of every table, and of one table that holds a part of its rows twice."""
+    tables = dict(b.all()) | {"items_doubled": b["items"].unionByName(b["items"].where(LATER_ITEMS))}
+    return checks.stack([profile.duplicate_profile(df).withColumn("tabla", F.lit(n)) for n, df in tables.items()])
+
+
+DOUBLED = f"SELECT * FROM m_items UNION ALL SELECT * FROM m_items WHERE {LATER_ITEMS}"
 register(
     "duplicate_rows",
-    lambda b: profile.duplicate_profile(b["items"].select("order_id", "order_item_id", "price")),
-    """SELECT CAST(sum(n) AS BIGINT) AS filas, CAST(sum(n - 1) AS BIGINT) AS duplicadas FROM (
-  SELECT count(*) AS n FROM m_items GROUP BY order_id, order_item_id, price)""",
+    duplicates,
+    union_all(
+        f"SELECT count(*) AS filas, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source})) AS duplicadas,"
+        f" '{n}' AS tabla FROM {source}"
+        for n, source in [*((n, f"m_{n}") for n in BINDERS), ("items_doubled", "m_doubled")]
+    ),
+    m_doubled=DOUBLED,
 )
 register(
     "grain_orders",
@@ -307,10 +397,15 @@ register(
     lambda b: base(b).agg(F.count_if(F.col("promised_days") <= 0).alias("pedidos")),
     "SELECT count(*) FILTER (WHERE promised_days <= 0) AS pedidos FROM m_features",
 )
-register("sample_orders", lambda b: profile.seeded_sample(b["orders"], "order_id", 5))
+register(
+    "sample_orders",
+    lambda b: profile.seeded_sample(b["orders"], "order_id", 5).select("order_id", "order_purchase_timestamp"),
+    """SELECT order_id, order_purchase_timestamp FROM m_orders
+ORDER BY md5(CAST(order_id AS VARCHAR) || '/42'), order_id LIMIT 5""",
+)
 register(
     "model_population",
-    lambda b: checks.check_row_counts({"orders": labelled(b)}, {"orders": 7419}),
-    "SELECT 'orders' AS tabla, CAST(7419 AS BIGINT) AS esperado, count(*) AS obtenido, count(*) = 7419 AS ok"
-    " FROM m_labelled",
+    lambda b: checks.check_row_counts({"orders": labelled(b)}, {"orders": b.raw("orders").count()}),
+    """SELECT 'orders' AS tabla, (SELECT count(*) FROM orders) AS esperado, count(*) AS obtenido,
+  count(*) = (SELECT count(*) FROM orders) AS ok FROM m_labelled""",
 )

@@ -26,16 +26,7 @@ register(
 )
 register(
     "three_way_cutoffs",
-    lambda b: moments(b)
-    .limit(1)
-    .select(
-        *[
-            temporal.moment(cut).alias(name)
-            for name, cut in zip(
-                ("validation_start", "test_start"), temporal.three_way_cutoffs(moments(b))
-            )
-        ]
-    ),
+    lambda b: temporal.three_way_table(moments(b)),
     "SELECT validation_start, test_start FROM m_cuts",
     m_cuts=CUTS,
 )
