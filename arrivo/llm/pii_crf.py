@@ -38,6 +38,7 @@ SAMPLE = 2000
 SLOTS = 4096
 ROUNDS = 12
 SURE = 0.9
+NODES_AT_ONCE, EDGES_AT_ONCE = 20_000, 100_000  # bounds of memory; a text is never cut
 WHITE = " \t\n\x0b\x0c\r"
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -231,8 +232,12 @@ class Field:
         for _ in range(rounds if len(source) else 0):
             total = own.copy()
             np.add.at(total, target, messages)
-            out = _log_sum((total[source] - messages[reverse])[:, :, None] + table[potential], 1)
-            messages = 0.5 * messages + 0.5 * (out - _log_sum(out, 1)[:, None])
+            fresh = np.empty_like(messages)
+            for at in range(0, len(source), EDGES_AT_ONCE):
+                cut = slice(at, at + EDGES_AT_ONCE)
+                out = _log_sum((total[source[cut]] - messages[reverse[cut]])[:, :, None] + table[potential[cut]], 1)
+                fresh[cut] = 0.5 * messages[cut] + 0.5 * (out - _log_sum(out, 1)[:, None])
+            messages = fresh
         total = own.copy()
         np.add.at(total, target, messages)
         return np.exp(total - _log_sum(total, 1)[:, None])
@@ -353,15 +358,22 @@ def find(texts: pa.Array, model: Field) -> list[tuple[list[Span], list[Span]]]:
     rows = np.flatnonzero(pc.match_substring_regex(texts, "[0-9@]").to_numpy(zero_copy_only=False))
     if not len(rows):
         return out
+    def infer() -> None:
+        for row, spans in added_spans(graph, held, model.beliefs(graph)).items():
+            clear = [s for s in spans if not any(a < s[2] and b > s[1] for _, a, b in out[row][0])]
+            out[row] = (out[row][0], sorted(set(clear)))
+
     graph, held = Graph(), {}
     for row, text in zip(rows.tolist(), texts.take(pa.array(rows)).to_pylist()):
         base = sorted(base_spans(text))
         out[row] = (base, [])
         held[row] = text
         graph.add(row, text, base)
-    for row, spans in added_spans(graph, held, model.beliefs(graph)).items():
-        clear = [s for s in spans if not any(a < s[2] and b > s[1] for _, a, b in out[row][0])]
-        out[row] = (out[row][0], sorted(set(clear)))
+        if len(graph.owner) >= NODES_AT_ONCE:  # documents share no edge, so they can be inferred in any grouping
+            infer()
+            graph, held = Graph(), {}
+    if graph.owner:
+        infer()
     return out
 
 

@@ -86,6 +86,14 @@ def test_message_passing_is_exact_on_a_chain():
     assert np.allclose(field.beliefs(graph, rounds=80), weight / weight.sum(1, keepdims=True), atol=1e-6)
 
 
+def test_grouping_of_documents_does_not_matter(monkeypatch):
+    field, texts = model(), pa.array(sample_texts()[:40] + ["Call +1 (743) 555-3824 today. Later dial (743) 555-3824 again."])
+    whole = pii_crf.find(texts, field)
+    monkeypatch.setattr(pii_crf, "NODES_AT_ONCE", 1)
+    monkeypatch.setattr(pii_crf, "EDGES_AT_ONCE", 7)
+    assert pii_crf.find(texts, field) == whole
+
+
 def test_awkward_rows(awkward, nothing, spark):
     field = pii_crf.fit(awkward)
     rows = pii_crf.find_spans(awkward, field).collect()
