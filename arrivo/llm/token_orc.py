@@ -4,8 +4,8 @@ Documents are dealt out by ranges of doc_id, sorted within each range, encoded a
 A shard's rows carry their start within the shard, so that reading any stripe needs only the (small) table of shard
 sizes, read from the files' own columns, to give global positions.
 
-Defined results: a null text has the end id only; null ids come first; rows of one id are ordered by text, null
-first; an empty table gives an empty, readable table; further columns are not written.
+Defined results: a null text has the end id only; null ids come first; rows of one id are ordered by the
+hash of their text; an empty table gives an empty, readable table; further columns are not written.
 """
 
 from __future__ import annotations
@@ -41,9 +41,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
             )
             before += len(ids)
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    # ties get further keys, so that one id with very many rows is dealt out as well
+    keys = [F.asc_nulls_first("doc_id"), F.asc("_hash"), F.asc("_row")]
+    rows = docs.select("doc_id", "text").withColumns({"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     (
-        ordered.mapInArrow(encode, f"shard int, doc_id {id_type}, shard_start long, n_tokens long, ids array<int>")
+        ordered.select("doc_id", "text").mapInArrow(encode, f"shard int, doc_id {id_type}, shard_start long, n_tokens long, ids array<int>")
         .write.mode("overwrite")
         .option("orc.compress", "ZSTD")
         .option("orc.stripe.size", str(STRIPE_BYTES))

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from conftest import awkward_rows
 
 from arrivo.llm import packing, token_orc
@@ -33,8 +34,16 @@ def test_encoder_forgets_but_stays_right(monkeypatch):
         assert list(ids) == plain_ids(text)
 
 
+def text_hash(text):
+    """Spark's xxhash64 of a text, as a signed number; a null leaves the seed."""
+    if text is None:
+        return 42
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def by_order(rows):
-    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, text_hash(r[1])))
 
 
 def test_orc_round_trip(awkward, nothing, spark, tmp_path):
