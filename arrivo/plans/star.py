@@ -22,6 +22,7 @@ from arrivo.schemas import (
     PURCHASE,
     STAR_BOX,
 )
+from arrivo.session import materialize
 
 
 def purchase_day() -> F.Column:
@@ -297,8 +298,12 @@ def star_sums(star: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) ->
 def export_star(
     star: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], folder: str, fmt: str = "csv"
 ) -> DataFrame:
-    """Check first, then write all tables; nothing is written when a check fails."""
+    """Check first, then write all tables; nothing is written when a check fails.
+
+    The star is computed once, into written tables that both the checks and the export read.
+    """
     from arrivo.sources.sinks import write_tables
 
-    require_ok(check_star(star, tables))
-    return write_tables(star, folder, fmt)
+    computed = {name: materialize(df, name) for name, df in star.items()}
+    require_ok(check_star(computed, tables))
+    return write_tables(computed, folder, fmt)
