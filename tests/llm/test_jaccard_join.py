@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import awkward_rows
+from llm.conftest import awkward_rows
 
 from arrivo.llm import partenum
 from arrivo.llm.components import components

@@ -1,6 +1,6 @@
 import numpy as np
 import pyarrow as pa
-from conftest import awkward_rows, made_rows
+from llm.conftest import awkward_rows, made_rows
 
 from arrivo.llm import langid_gru
 

@@ -1,7 +1,7 @@
 import duckdb
 import pandas as pd
 import pytest
-from conftest import awkward_rows
+from llm.conftest import awkward_rows
 from pyspark.sql import functions as F
 
 from arrivo.llm import mixing

@@ -3,7 +3,7 @@ import random
 import re
 
 import pyarrow as pa
-from conftest import awkward_rows
+from llm.conftest import awkward_rows
 
 from arrivo.llm import pii_crf
 

@@ -4,10 +4,10 @@ import re
 
 import corpus_pipeline
 import pytest
-from conftest import awkward_rows
-from test_jaccard_join import brute
-from test_pii import plain_spans
-from test_tokens import check_packed
+from llm.conftest import awkward_rows
+from llm.test_jaccard_join import brute
+from llm.test_pii import plain_spans
+from llm.test_tokens import check_packed
 
 from arrivo.llm import packing
 from arrivo.session import materialize

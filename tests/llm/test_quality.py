@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from conftest import awkward_rows, made_rows
+from llm.conftest import awkward_rows, made_rows
 
 from arrivo.llm import quality_mil, quality_rules
 from arrivo.llm.words import Words

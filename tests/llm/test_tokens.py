@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from conftest import awkward_rows
+from llm.conftest import awkward_rows
 
 from arrivo.llm import packing, token_orc
 from arrivo.llm.tokens import encoder, tokenizer_path
