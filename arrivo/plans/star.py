@@ -1,4 +1,7 @@
-"""Star schema: dimensions, facts and the flat item table."""
+"""Star schema: dimensions, facts and the flat item table.
+
+Fixed values: the names of the output columns are those of the published tables.
+"""
 
 from __future__ import annotations
 
