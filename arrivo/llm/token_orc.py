@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from arrivo.llm.tokens import crc_of_lists, encoder, id_lists, tokenizer_path
+from arrivo.llm.tokens import PIECE_BYTES, crc_of_lists, encoder, id_lists, tokenizer_path
 from arrivo.llm.words import pieces, texts_of
 
 STRIPE_BYTES = 16 << 20
@@ -32,7 +32,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
-        for part in pieces(batches):
+        for part in pieces(batches, limit=PIECE_BYTES):
             ids, starts = encoder(place)(texts_of(part))
             n = part.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -71,7 +71,8 @@ def global_starts(stored: DataFrame) -> DataFrame:
     shards = stored.groupBy("shard").agg(F.sum("n_tokens").alias("_size"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = shards.select(F.col("shard").alias("_shard"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    return stored.join(offsets, F.col("shard") == F.col("_shard")).withColumn("start", F.col("shard_start") + F.col("_before")).drop("_shard", "_before")
+    # one row per written partition: small enough for every executor
+    return stored.join(F.broadcast(offsets), F.col("shard") == F.col("_shard")).withColumn("start", F.col("shard_start") + F.col("_before")).drop("_shard", "_before")
 
 
 def digest(stored: DataFrame) -> DataFrame:

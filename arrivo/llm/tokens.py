@@ -12,12 +12,15 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from arrivo.llm.words import Words
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
+RUN_WORDS = 200
+PIECE_BYTES = 2 << 20  # of text encoded at a time
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -28,52 +31,112 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+# Letters, then ASCII marks without an apostrophe: the tokenizer takes them for two pieces, whatever the case.
+PLAIN = r"^(?P<core>\p{L}+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
+
+
 class Encoder:
-    """Ids per distinct word. Two generations of known words are kept, each of `CACHE_WORDS` at most; a word that is
-    asked for again moves to the younger one, so that frequent words stay."""
+    """Ids per distinct word. Plain words are looked up in lower case and without the marks after them; new ones are
+    encoded many at a time, in one text, and told apart by the ids that end a word.
+
+    Two generations of known words are kept, each of `CACHE_WORDS` at most; a word that is asked for again moves to the
+    younger one, so that frequent words stay.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends_word = self._word_ends()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def word_ids(self, vocabulary: list[str]) -> list[bytes]:
-        """The ids of each word as 32-bit numbers."""
+    def _word_ends(self) -> np.ndarray | None:
+        """By id: closes a word. None where the vocabulary does not mark that."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        names = self.tokenizer.get_vocab()
+        out = np.zeros(max(names.values()) + 1, bool)
+        for name, number in names.items():
+            out[number] = name.endswith(suffix)
+        return out
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, words: list[str], plain: bool) -> list[bytes]:
+        """Ids of new words. A run of plain words has one closing id for each; where the numbers differ (a letter whose
+        lower case is not a letter alone), the words of that run are encoded one by one."""
+        if not plain or self.ends_word is None:
+            return [np.array(ids, np.int32).tobytes() for ids in self._ids(words)]
+        out: list[bytes] = []
+        runs = [words[at : at + RUN_WORDS] for at in range(0, len(words), RUN_WORDS)]
+        for run, ids in zip(runs, self._ids([" ".join(run) for run in runs])):
+            found = np.array(ids, np.int32)
+            ends = (np.flatnonzero(self.ends_word[found]) + 1) * 4
+            if len(ends) != len(run):
+                out += self._encode(run, False)
+                continue
+            raw = found.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        return out
+
+    def known_ids(self, words: list[str], plain: list[bool]) -> list[bytes]:
+        """The ids of each of these distinct words as 32-bit numbers."""
         young, old = self.young, self.old
-        out = [young.get(w) or old.get(w) for w in vocabulary]
+        out = [young.get(w) or old.get(w) for w in words]
         missing = [i for i, x in enumerate(out) if x is None]
-        if missing:
-            found = [x.ids for x in self.tokenizer.encode_batch_fast([vocabulary[i] for i in missing], add_special_tokens=False)]
-            raw = np.fromiter(itertools.chain.from_iterable(found), np.int32).tobytes()
-            ends = list(itertools.accumulate(4 * len(x) for x in found))
-            for i, start, end in zip(missing, [0, *ends], ends):
-                out[i] = raw[start:end]
-        if len(young) + len(vocabulary) > CACHE_WORDS:
+        for kind in (True, False):
+            some = [i for i in missing if plain[i] == kind]
+            for i, ids in zip(some, self._encode([words[i] for i in some], kind) if some else []):
+                out[i] = ids
+        if len(young) + len(words) > CACHE_WORDS:
             self.young, self.old = {}, young
-        if len(vocabulary) <= CACHE_WORDS:
-            self.young.update(zip(vocabulary, out))
+        if len(words) <= CACHE_WORDS:
+            self.young.update(zip(words, out))
         return out
 
+    def word_ids(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has."""
+        parts = pc.extract_regex(pc.ascii_lower(vocabulary), PLAIN)
+        plain = pc.is_valid(parts)
+        cores = pc.if_else(plain, pc.struct_field(parts, "core"), vocabulary).dictionary_encode()
+        tails = pc.if_else(plain, pc.struct_field(parts, "tail"), "").dictionary_encode()
+        core, tail = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (cores, tails))
+        is_plain = np.zeros(len(cores.dictionary), bool)
+        is_plain[core[plain.to_numpy(zero_copy_only=False)]] = True
+        marks = tails.dictionary.to_pylist()
+        known = self.known_ids(cores.dictionary.to_pylist(), is_plain.tolist()) + self.known_ids(marks, [False] * len(marks))
+        width = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        # a word is its core, then its tail
+        halves = np.stack([core, tail + len(cores.dictionary)], 1)
+        return gathered(np.frombuffer(b"".join(known), np.int32), width, halves.ravel()), width[halves].sum(1)
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by `END_ID`, and where each text starts (one more at the end)."""
         words = Words(texts)
-        per_word = self.word_ids(words.vocabulary.to_pylist())
-        width = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
-        flat = np.frombuffer(b"".join(per_word), np.int32)
-        first = np.concatenate([[0], np.cumsum(width)])[:-1]
-        length = width[words.codes]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        at = np.arange(ends[-1]) - np.repeat(ends[:-1], length) + np.repeat(first[words.codes], length)
-        starts = ends[words.starts] + np.arange(len(words.starts))
+        if not len(words):
+            return np.full(len(texts), END_ID, np.int32), np.arange(len(texts) + 1)
+        flat, width = self.word_ids(words.vocabulary)
+        ends = np.concatenate([[0], np.cumsum(width[words.codes])])[words.starts]
+        starts = ends + np.arange(len(ends))
+        ids = gathered(flat, width, words.codes)
+        # an id goes one place further for every text before its own
         out = np.full(int(starts[-1]), END_ID, np.int32)
-        per_text = np.diff(ends[words.starts])
-        out[np.arange(ends[-1]) + np.repeat(np.arange(len(per_text)), per_text)] = flat[at]
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), np.diff(ends))] = ids
         return out, starts
 
 
+def gathered(flat: np.ndarray, width: np.ndarray, picks: np.ndarray) -> np.ndarray:
+    """The picked runs of `flat` in a row; run i has `width[i]` values."""
+    length = width[picks]
+    ends = np.cumsum(length)
+    shift = (np.cumsum(width) - width)[picks] - (ends - length)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, length)]
+
+
 def encoder(path: str) -> Encoder:
     """One per worker process and file."""
     if path not in _encoders:
