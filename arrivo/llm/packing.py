@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from arrivo.llm.tokens import crc_of_lists, encoder, id_lists, tokenizer_path
+from arrivo.llm.tokens import PIECE_BYTES, crc_of_lists, encoder, id_lists, tokenizer_path
 from arrivo.llm.words import pieces, texts_of
 from arrivo.session import materialize
 
@@ -50,7 +50,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, longest: int = MAX_LENGT
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(longest.bit_length(), np.int64)
-        for part in pieces(batches):
+        for part in pieces(batches, limit=PIECE_BYTES):
             ids, starts = encoder(place)(texts_of(part))
             sizes = np.diff(starts)
             lengths, number = decompose(sizes, longest)
@@ -76,7 +76,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, longest: int = MAX_LENGT
     sizes = written.groupBy("length", "task").agg(F.count("*").alias("_size"))
     before = Window.orderBy(F.desc("length"), "task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("length").alias("_length"), F.col("task").alias("_task"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    joined = written.join(offsets, (F.col("length") == F.col("_length")) & (F.col("task") == F.col("_task")))
+    # one row per length and task of the first pass: small enough for every executor
+    joined = written.join(F.broadcast(offsets), (F.col("length") == F.col("_length")) & (F.col("task") == F.col("_task")))
     return joined.select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("_before") + F.col("rank")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
