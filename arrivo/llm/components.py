@@ -11,23 +11,32 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
+def _ordered(edges: DataFrame) -> DataFrame:
+    """Each edge once, from the larger node to the smaller, written."""
+    larger = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+    return materialize(larger.distinct(), "edges")
+
+
+def _flat(edges: DataFrame) -> bool:
+    """Whether every node points at one other that points at none: then the edges are the components."""
+    seen = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    nodes = seen.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.where("out > 1 OR out = 1 AND into = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of the links (a, b); the root is the smallest node that links reach.
 
-    Links point every node at the smallest of its neighbours until nothing moves, in a number of rounds that grows with
-    the logarithm of the longest path. Only two numbers a round reach the driver.
+    Links point every node at the smallest of its neighbours until all point at their roots, in a number of rounds that
+    grows with the logarithm of the longest path. Only one yes or no a round reaches the driver.
     """
-    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    while True:
+    edges = _ordered(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    while not _flat(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = both.join(_least(both), "u")
-        large = near.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = near.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         near = large.join(_least(large), "u")
-        small = near.select("u", F.col("m").alias("v")).unionByName(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = materialize(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+        edges = _ordered(near.select("u", F.col("m").alias("v")).unionByName(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

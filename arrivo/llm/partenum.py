@@ -10,10 +10,11 @@ Pieces without any element would make all sets of a tag alike. They need no sign
 empty choices and the tag has m parts more than it needs: then one of the agreeing choices is not empty. Sets with more
 empty choices than that carry them as well.
 
-Candidates. First each set is compared with the smallest set of each of its buckets. After that only pairs in one bucket
-that lie in different components remain, and of those the ones whose sizes and 1024-bit parity sketches do not rule a
-link out; equal bits are a lower bound of the difference, so nothing similar is lost. All candidates are verified on
-their whole sets. No step lists the pairs within a group of copies or near copies.
+Candidates. First each set is compared with the smallest set of each of its buckets, then with the one next to it in a
+random order of each bucket. After that only pairs in one bucket that lie in different components remain. Of all these,
+only pairs whose sizes and 1024-bit parity sketches leave room for a link count; differing bits are a lower bound of the
+difference, so nothing similar is lost. Candidates are verified on their whole sets. A group of near copies is joined
+before its pairs are asked for, so no step lists the pairs within a group.
 
 Defined results: a text with fewer words than a shingle is one shingle of all its words; a null text or one without
 words has an empty set, linked with nothing; repeated rows are one class; the component of null ids alone is null; an
@@ -249,7 +250,7 @@ class Join:
         return fits & ((100 + self.threshold) * odd <= (100 - self.threshold) * (a + b))
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links among candidate pairs of classes (a, b), on whole sets."""
+        """Links among candidate pairs of classes (a, b, with their roots), on whole sets."""
         threshold = self.threshold
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,40 +261,62 @@ class Join:
                     place = np.minimum(np.searchsorted(y, x), len(y) - 1)
                     common = int((y[place] == x).sum())
                     keep.append(100 * common >= threshold * (len(x) + len(y) - common))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                yield batch.select(["a", "b", "ra", "rb"]).filter(pa.array(keep, pa.bool_()))
 
         first = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
         second = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
-        return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+        rows = pairs.join(first, "a").join(second, "b").select("a", "b", "ra", "rb", "x", "y")
+        return rows.mapInArrow(compare, "a long, b long, ra long, rb long")
+
+    def _open(self, buckets: DataFrame, known: DataFrame) -> DataFrame:
+        """Rows of the buckets in which sets of different components meet: signature and the columns of `known`."""
+        same = Window.partitionBy("signature")
+        rows = buckets.select("signature", "f1").join(known, "f1").drop("f1")
+        rows = rows.select("*", F.min("root").over(same).alias("_low"), F.max("root").over(same).alias("_high"))
+        return materialize(rows.where("_low < _high").drop("_low", "_high"), "open")
+
+    def _neighbours(self, rows: DataFrame) -> DataFrame:
+        """Candidates among the sets next to each other in a random order of every open bucket.
+
+        Their number is that of the rows, however large a bucket is; a set lies in many buckets and so meets many others
+        of its group, which joins a group of near copies without its pairs.
+        """
+        order = Window.partitionBy("signature").orderBy(F.xxhash64("class", "signature"), "class")
+        whole = F.struct(*[c for c in rows.columns if c != "signature"])
+        beside = rows.select(whole.alias("l"), F.lag(whole).over(order).alias("r")).where("l.root <> r.root")
+        return self._ordered(beside.where(self._possible("l", "r")))
+
+    def _ordered(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) of classes with their roots, each once, from rows with `l` and `r`."""
+        ends = F.array_sort(F.array(*[F.struct(F.col(f"{x}.class").alias("c"), F.col(f"{x}.root").alias("r")) for x in "lr"]))
+        both = pairs.select(ends.alias("e"))
+        return both.select(F.col("e")[0]["c"].alias("a"), F.col("e")[1]["c"].alias("b"), F.col("e")[0]["r"].alias("ra"), F.col("e")[1]["r"].alias("rb")).distinct()
+
+    def _joined(self, pairs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+        """`known` with the roots that the links among the candidate pairs bring together."""
+        links = self._verified(pairs, sets).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        found = components(links).withColumnRenamed("root", "_joint")
+        moved = known.join(found, F.col("root") == F.col("node"), "left")
+        return materialize(moved.withColumn("root", F.coalesce("_joint", "root")).drop("node", "_joint"), "roots")
 
     def components(self) -> DataFrame:
-        """(class, root) for the classes that are linked."""
+        """(class, root) for the classes that share a signature with another; the root is one of them."""
         buckets = materialize(self._buckets(), "buckets")
         sets = materialize(self._candidate_sets(buckets), "candidates")
-        brief = sets.select("class", "f1", "n", "sketch")
+        known = sets.select("class", "f1", "n", "sketch", F.col("class").alias("root"))
         firsts = buckets.where("f1 <> least").select("f1", "least").distinct().alias("p")
-        paired = firsts.join(brief.alias("l"), F.col("p.f1") == F.col("l.f1")).join(brief.alias("r"), F.col("p.least") == F.col("r.f1"))
-        tried = paired.where(self._possible("l", "r")).select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")).distinct()
-        tried = materialize(tried, "pairs")
-        links = materialize(self._verified(tried, sets), "links")
-        found = materialize(components(links), "components")
-        # what is left: pairs of one bucket in different components
-        known = brief.join(found, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class")).drop("node")
-        same = Window.partitionBy("signature")
-        open_ = buckets.select("signature", "f1").join(known, "f1")
-        open_ = open_.select("*", F.min("root").over(same).alias("_low"), F.max("root").over(same).alias("_high")).where("_low < _high")
-        open_ = materialize(open_.select("signature", "class", "n", "sketch", "root"), "open")
-        l, r = open_.alias("l"), open_.alias("r")
+        paired = firsts.join(known.alias("l"), F.col("p.f1") == F.col("l.f1")).join(known.alias("r"), F.col("p.least") == F.col("r.f1"))
+        known = self._joined(self._ordered(paired.where(self._possible("l", "r"))), sets, known)
+        known = self._joined(self._neighbours(self._open(buckets, known)), sets, known)
+        # what is left: all pairs of one bucket in different components
+        rest = self._open(buckets, known)
         apart = (F.col("l.signature") == F.col("r.signature")) & (F.col("l.root") < F.col("r.root")) & self._possible("l", "r")
-        rest = l.join(r, apart).select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")).distinct()
-        rest = rest.join(tried, ["a", "b"], "left_anti")
-        more = materialize(self._verified(rest, sets), "links")
-        return components(links.unionByName(more))
+        known = self._joined(self._ordered(rest.alias("l").join(rest.alias("r"), apart)), sets, known)
+        return known.select("class", "root")
 
     def documents(self) -> DataFrame:
         """Per document row: doc_id, n_shingles, component_id, group (equal for linked documents), text_hash."""
-        found = materialize(self.components(), "components")
-        named = self.classes.join(found, F.col("class") == F.col("node"), "left").withColumn("group", F.coalesce("root", "class"))
+        named = self.classes.join(self.components().distinct(), "class", "left").withColumn("group", F.coalesce("root", "class"))
         smallest = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
         member = named.select("n", "f1", "f2", "group").join(smallest, "group")
         s, m = self.sets.alias("s"), member.alias("m")
