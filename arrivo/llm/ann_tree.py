@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from arrivo.llm.sampling import first_places
 from arrivo.session import materialize
 
 NEIGHBOURS = 5
@@ -185,7 +186,7 @@ def build(classes: DataFrame) -> tuple[Tree | None, DataFrame, dict[int, int]]:
     first = classes.select("v").first()
     if first is None:
         return None, classes.withColumn("leaf", F.lit(0)), {}
-    sample = classes.orderBy(F.xxhash64("v")).limit(max(LEAST_SAMPLE, SAMPLE_FLOATS // len(first.v))).select("v").collect()
+    sample = first_places(classes.select("v"), max(LEAST_SAMPLE, SAMPLE_FLOATS // len(first.v)), count, "v").collect()
     tree = grow(_unit(np.array([r.v for r in sample], np.float64)), count)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +204,7 @@ def build(classes: DataFrame) -> tuple[Tree | None, DataFrame, dict[int, int]]:
 
 def calibrate(tree: Tree, index: DataFrame, sizes: dict[int, int], keep: int, recall: float = RECALL) -> tuple[int, float]:
     """Leaf visits that reach the recall on sample queries, and the recall they reach."""
-    rows = index.orderBy(F.xxhash64("v", F.lit(1))).limit(CALIBRATION).collect()
+    rows = first_places(index.withColumn("_own", F.lit(1)), CALIBRATION, sum(sizes.values()), "_own", "v").collect()
     if not rows or tree.leaves == 1:
         return 1, 1.0
     ids, queries = [int(r.ids[0]) for r in rows], np.array([r.v for r in rows], np.float64)

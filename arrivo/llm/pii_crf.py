@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from arrivo.llm.sampling import first_places
 from arrivo.llm.words import pieces, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -292,7 +293,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
     holding = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-    picked = holding.select(F.xxhash64("doc_id").alias("place"), F.xxhash64("text").alias("text_hash"), "text").orderBy("place", "text_hash").limit(sample)
+    hashed = holding.select(F.xxhash64("doc_id").alias("place"), F.xxhash64("text").alias("text_hash"), "text")
+    picked = first_places(hashed, sample, holding.count(), "place", "text_hash")
     rows = sorted(picked.repartition(8).mapInArrow(describe, spec).collect(), key=lambda r: (r.place, r.text_hash, r.start))
     graph = Graph()
     for i, r in enumerate(rows):
