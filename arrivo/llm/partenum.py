@@ -12,7 +12,7 @@ empty choices than that carry them as well.
 
 Candidates. First each set is compared with the smallest set of each of its buckets, then with the one next to it in a
 random order of each bucket. After that only pairs in one bucket that lie in different components remain. Of all these,
-only pairs whose sizes and 1024-bit parity sketches leave room for a link count; differing bits are a lower bound of the
+only pairs whose sizes and parity sketches leave room for a link count; differing bits are a lower bound of the
 difference, so nothing similar is lost. Candidates are verified on their whole sets. A group of near copies is joined
 before its pairs are asked for, so no step lists the pairs within a group.
 
@@ -34,7 +34,7 @@ from arrivo.llm.components import components
 from arrivo.llm.words import Words, chain, mix, pieces, signed, texts_of
 from arrivo.session import materialize
 
-SKETCH_LONGS = 16
+BRIEF_LONGS = 4  # 64-bit words of the folded sketch that travels with the buckets
 FINE_BELOW = 256  # sets up to this size get signatures over more elements, since chance agreement is likelier
 KNOWN_SETS = 200_000  # sets that a task remembers having signed
 
@@ -76,13 +76,30 @@ def fingerprints(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         return tuple(_range_sums(mix(flat ^ np.uint64(salt)), starts) for salt in (0x243F6A8885A308D3, 0x13198A2E03707344))
 
 
-def sketches(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Parity of the number of elements in each of 64 * SKETCH_LONGS cells, one row of longs per set."""
-    bits = 64 * SKETCH_LONGS
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    cell = (mix(flat) % np.uint64(bits)).astype(np.int64)
-    parity = (np.bincount(owner * bits + cell, minlength=(len(starts) - 1) * bits) & 1).astype(np.uint8)
-    return np.packbits(parity.reshape(-1, 64), axis=1, bitorder="little").view(np.int64).reshape(-1, SKETCH_LONGS)
+def sketches(flat: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Per set: the parity of the number of its elements in each cell, as words of 64 bits.
+
+    The number of cells is a power of two, twice the size of the set or more, so that it tells differences of the order
+    of the size; a longer sketch folds into a shorter one.
+    """
+    sizes = np.diff(starts)
+    cells = 1 << np.maximum(np.ceil(np.log2(np.maximum(2 * sizes, 1))), np.log2(64 * BRIEF_LONGS)).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(cells)])
+    cell = (mix(flat) & np.repeat((cells - 1).astype(np.uint64), sizes)).astype(np.int64) + np.repeat(ends[:-1], sizes)
+    parity = (np.bincount(cell, minlength=ends[-1]) & 1).astype(np.uint8)
+    words = np.packbits(parity, bitorder="little").view(np.uint64)
+    return [words[a // 64 : b // 64] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def folded(sketch: np.ndarray, longs: int) -> np.ndarray:
+    """The sketch of the same set with fewer cells."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, longs), axis=0)
+
+
+def least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """Elements in which two sets with these sketches differ at least."""
+    longs = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, longs) ^ folded(y, longs)).sum())
 
 
 # --- signatures ---
@@ -232,23 +249,42 @@ class Join:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("class").take(picks), part.column("f1").take(picks), pa.array(np.diff(starts)[rows]),
-                        pa.array([marks[i] for i in rows], pa.list_(pa.int64())), pa.array([flat[starts[i] : starts[i + 1]].tobytes() for i in rows], pa.binary()),
+                        pa.array([folded(marks[i], BRIEF_LONGS).view(np.int64) for i in rows], pa.list_(pa.int64())),
+                        pa.array([marks[i].tobytes() for i in rows], pa.binary()), pa.array([flat[starts[i] : starts[i + 1]].tobytes() for i in rows], pa.binary()),
                     ],
-                    names=["class", "f1", "n", "sketch", "elements"],
+                    names=["class", "f1", "n", "brief", "sketch", "elements"],
                 )
 
         wanted = self.classes.join(buckets.select("f1").distinct(), "f1", "left_semi").select("doc_id", "text_hash", "class", "f1", "f2")
         d, w = self.docs.alias("d"), wanted.alias("w")
         rows = d.join(w, (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("d.text", "w.class", "w.f1", "w.f2")
-        return rows.mapInArrow(collect, "class long, f1 long, n long, sketch array<long>, elements binary")
+        return rows.mapInArrow(collect, "class long, f1 long, n long, brief array<long>, sketch binary, elements binary")
 
     def _possible(self, left: str, right: str):
-        """Whether sizes and sketches leave room for a link."""
+        """Whether sizes and brief sketches leave room for a link."""
         a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
-        odd = sum(F.bit_count(F.col(f"{left}.sketch")[i].bitwiseXOR(F.col(f"{right}.sketch")[i])) for i in range(SKETCH_LONGS))
+        odd = sum(F.bit_count(F.col(f"{left}.brief")[i].bitwiseXOR(F.col(f"{right}.brief")[i])) for i in range(BRIEF_LONGS))
         fits = 100 * F.least(a, b) >= self.threshold * F.greatest(a, b)
         return fits & ((100 + self.threshold) * odd <= (100 - self.threshold) * (a + b))
 
+    def _likely(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs that the whole sketches do not rule out."""
+        threshold = self.threshold
+
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = []
+                for i, size in enumerate(batch.column("size").to_pylist()):
+                    x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
+                    keep.append((100 + threshold) * least_difference(x, y) <= (100 - threshold) * size)
+                yield batch.select(["a", "b", "ra", "rb"]).filter(pa.array(keep, pa.bool_()))
+
+        marks = sets.select("class", "n", "brief", "sketch")
+        p, l, r = pairs.alias("p"), marks.alias("l"), marks.alias("r")
+        both = p.join(l, F.col("p.a") == F.col("l.class")).join(r, F.col("p.b") == F.col("r.class")).where(self._possible("l", "r"))
+        rows = both.select("p.a", "p.b", "p.ra", "p.rb", F.col("l.sketch").alias("x"), F.col("r.sketch").alias("y"), (F.col("l.n") + F.col("r.n")).alias("size"))
+        return rows.mapInArrow(weigh, "a long, b long, ra long, rb long")
+
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Links among candidate pairs of classes (a, b, with their roots), on whole sets."""
         threshold = self.threshold
@@ -269,9 +305,12 @@ class Join:
         return rows.mapInArrow(compare, "a long, b long, ra long, rb long")
 
     def _open(self, buckets: DataFrame, known: DataFrame) -> DataFrame:
-        """Rows of the buckets in which sets of different components meet: signature and the columns of `known`."""
+        """Rows of the buckets in which sets of different components meet: signature and the columns of `known`.
+
+        The smallest set of a bucket has been compared with all others and is left out, so a bucket of two is done.
+        """
         same = Window.partitionBy("signature")
-        rows = buckets.select("signature", "f1").join(known, "f1").drop("f1")
+        rows = buckets.where("f1 <> least").select("signature", "f1").join(known, "f1").drop("f1")
         rows = rows.select("*", F.min("root").over(same).alias("_low"), F.max("root").over(same).alias("_high"))
         return materialize(rows.where("_low < _high").drop("_low", "_high"), "open")
 
@@ -294,7 +333,7 @@ class Join:
 
     def _joined(self, pairs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
         """`known` with the roots that the links among the candidate pairs bring together."""
-        links = self._verified(pairs, sets).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        links = self._verified(self._likely(pairs, sets), sets).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         found = components(links).withColumnRenamed("root", "_joint")
         moved = known.join(found, F.col("root") == F.col("node"), "left")
         return materialize(moved.withColumn("root", F.coalesce("_joint", "root")).drop("node", "_joint"), "roots")
@@ -303,10 +342,12 @@ class Join:
         """(class, root) for the classes that share a signature with another; the root is one of them."""
         buckets = materialize(self._buckets(), "buckets")
         sets = materialize(self._candidate_sets(buckets), "candidates")
-        known = sets.select("class", "f1", "n", "sketch", F.col("class").alias("root"))
+        # a short sketch travels with the buckets: the whole one folded, which still bounds the difference
+        known = sets.select("class", "f1", "n", "brief", F.col("class").alias("root"))
         firsts = buckets.where("f1 <> least").select("f1", "least").distinct().alias("p")
-        paired = firsts.join(known.alias("l"), F.col("p.f1") == F.col("l.f1")).join(known.alias("r"), F.col("p.least") == F.col("r.f1"))
-        known = self._joined(self._ordered(paired.where(self._possible("l", "r"))), sets, known)
+        ends = known.select("f1", "class", "root")
+        paired = firsts.join(ends.alias("l"), F.col("p.f1") == F.col("l.f1")).join(ends.alias("r"), F.col("p.least") == F.col("r.f1"))
+        known = self._joined(self._ordered(paired), sets, known)
         known = self._joined(self._neighbours(self._open(buckets, known)), sets, known)
         # what is left: all pairs of one bucket in different components
         rest = self._open(buckets, known)

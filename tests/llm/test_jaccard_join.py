@@ -85,12 +85,18 @@ def test_signatures_lose_no_similar_pair():
 
 def test_sketches_never_rule_out_a_link():
     rng = np.random.default_rng(1)
-    left = np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64))
-    for drop in (0, 1, 10, 100, 400):
-        right = left[drop:]
-        marks = partenum.sketches(np.concatenate([left, right]), np.array([0, len(left), len(left) + len(right)]))
-        odd = sum(bin(int(x) & (2**64 - 1)).count("1") for x in (marks[0] ^ marks[1]))
-        assert odd <= drop and (drop > 10 or odd == drop or drop - odd in (2, 4, 6))
+    for size in (3, 500, 9000):
+        left = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for drop in (0, 1, 2, size // 10, size - 1):
+            right = left[drop:]
+            x, y = partenum.sketches(np.concatenate([left, right]), np.array([0, len(left), len(left) + len(right)]))
+            assert partenum.least_difference(x, y) <= drop
+            assert drop > 2 or partenum.least_difference(x, y) in (drop, drop - 2)
+            brief = [partenum.folded(s, partenum.BRIEF_LONGS) for s in (x, y)]
+            assert partenum.least_difference(*brief) <= partenum.least_difference(x, y)
+        other = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        x, y = partenum.sketches(np.concatenate([left, other]), np.array([0, len(left), len(left) + len(other)]))
+        assert partenum.least_difference(x, y) > size / 2  # tells unlike sets of any size apart
 
 
 def test_sets_equal_plain_shingles():
