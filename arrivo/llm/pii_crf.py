@@ -9,8 +9,9 @@ each node shares skip potentials with the next node of the document that repeats
 
 Weights are learned by pseudo-likelihood from base spans of a bounded sample (`SAMPLE` documents with a node), some
 features hidden at random so that the field learns to trust its neighbours. A span is added where the belief is at
-least `SURE`, the text is of its kind, no base span is touched, and a node of a base span of that kind is linked to it
-by a skip edge: the field only spreads what a document says elsewhere.
+least `SURE`, the text is of its kind, no base span is touched, and it is backed by a base span of that kind: a word with
+the characters or the shape of one inside the base span is backed, and so is one with those of a sure word of that kind
+that is backed itself, at any distance. The field only spreads what a document says elsewhere.
 
 Defined results: a null text is empty and has no spans; repeated rows are searched each; an empty table gives an empty
 result; further columns are not looked at. The counts n_email to n_phone are those of base spans; n_added has the rest.
@@ -164,11 +165,13 @@ class Graph:
     chain: list[tuple[int, int]] = field(default_factory=list)
     same: list[tuple[int, int]] = field(default_factory=list)
     alike: list[tuple[int, int]] = field(default_factory=list)
+    groups: list[tuple[int, int]] = field(default_factory=list)  # first node with the same characters, with the same shape
 
     def add(self, number: int, text: str, base: list[Span]) -> None:
         places = nodes_of(text)
         words = [text[a:b] for a, b in places]
         first, last_same, last_alike = len(self.owner), {}, {}
+        first_same, first_alike = {}, {}
         touch = lambda i: i + 1 < len(places) and not text[places[i][1] : places[i + 1][0]].strip(WHITE)
         spans = sorted((a, b, kind) for kind, a, b in base)
         at = 0
@@ -192,6 +195,7 @@ class Graph:
             if form in last_alike and last_alike[form] != last_same.get(key):
                 self.alike.append((last_alike[form], me))
             last_same[key] = last_alike[form] = me
+            self.groups.append((first_same.setdefault(key, me), first_alike.setdefault(form, me)))
 
     def edges(self) -> list[np.ndarray]:
         return [np.array(e, np.int64).reshape(-1, 2) for e in (self.chain, self.same, self.alike)]
@@ -323,6 +327,30 @@ def _valid(kind: int, value: str) -> bool:
     return 8 <= len(digits) <= 15 and not re.search(r"[^0-9 +().-]", value)
 
 
+def backed_nodes(graph: Graph, kind: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Nodes whose kind reaches them from a base span, from group to group of equal characters or shape.
+
+    `kind` is the label of nodes that can pass it on, else `NONE`. A node joins its two groups for its kind, so that one
+    pass over the nodes finds what any number of steps along the skip edges would.
+    """
+    parent: dict[tuple, tuple] = {}
+
+    def root(x: tuple) -> tuple:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    members = [(i, int(kind[i])) for i in np.flatnonzero(kind != NONE).tolist()]
+    for i, k in members:
+        same, alike = graph.groups[i]
+        parent[root((k, "same", same))] = root((k, "alike", alike))
+    held = {root((k, "same", graph.groups[i][0])) for i, k in members if base[i] == k}
+    backed = np.zeros(len(kind), bool)
+    backed[[i for i, k in members if root((k, "same", graph.groups[i][0])) in held]] = True
+    return backed
+
+
 def added_spans(graph: Graph, texts: dict[int, str], belief: np.ndarray) -> dict[int, list[Span]]:
     """By document: runs of joined nodes with one sure label outside base spans, backed by a base span elsewhere."""
     out: dict[int, list[Span]] = {}
@@ -330,10 +358,7 @@ def added_spans(graph: Graph, texts: dict[int, str], belief: np.ndarray) -> dict
     sure = (belief.max(1) >= SURE) & (label != NONE) & (base == NONE)
     if not sure.any():
         return out
-    backed = np.zeros(len(label), bool)
-    for a, b in [*graph.same, *graph.alike]:
-        backed[a] |= base[b] == label[a]
-        backed[b] |= base[a] == label[b]
+    backed = backed_nodes(graph, np.where(sure, label, base), base)
     joined = {b for _, b in graph.chain}
     at = 0
     while at < len(label):

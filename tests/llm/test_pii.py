@@ -108,3 +108,27 @@ def test_awkward_rows(awkward, nothing, spark):
         base = plain_spans(sample_texts()[r.doc_id])
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in base) for k in range(4))
         assert set(pii_crf._listed(base).split(",")) <= set(r.spans.split(","))
+
+
+def test_every_further_mention_is_found():
+    """The third and later mentions are linked only to each other, not to the base span."""
+    field = model()
+    for mentions in (3, 4, 30):
+        text = "Call +1 (743) 555-3824 today. " + "Later dial (743) 555-3824 again. " * mentions
+        base, more = pii_crf.find(pa.array([text]), field)[0]
+        assert [text[a:b] for _, a, b in base] == ["+1 (743) 555-3824"]
+        assert [text[a:b] for _, a, b in more] == ["(743) 555-3824"] * mentions
+        assert "3824" not in pii_crf.masked(text, base + more)
+
+
+def test_backing_passes_through_sure_words_only():
+    """Same characters, then same shape: through a word of that kind, not through one that is of none."""
+    import numpy as np
+
+    graph = pii_crf.Graph()
+    graph.add(0, "x555-3824 y5553824 z x5553824 w 1234 v a555-3824b", [])
+    graph.groups = [(0, 0), (0, 1), (2, 1), (3, 3), (0, 4)]
+    base = np.array([4, 0, 0, 0, 0])
+    assert pii_crf.backed_nodes(graph, np.array([4, 4, 4, 4, 4]), base).tolist() == [True, True, True, False, True]
+    assert pii_crf.backed_nodes(graph, np.array([4, 0, 4, 4, 4]), base).tolist() == [True, False, False, False, True]
+    assert pii_crf.backed_nodes(graph, np.array([4, 3, 4, 4, 3]), base).tolist() == [True, False, False, False, False]
