@@ -164,11 +164,14 @@ def cut_windows(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray
     return flat.reshape(-1, length).T, number
 
 
+def lettered(texts: pa.Array) -> np.ndarray:
+    return pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
+
+
 def predict(texts: pa.Array, model: Network | None) -> tuple[np.ndarray, np.ndarray]:
     """Language and its mean probability over all positions of each text."""
     names, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-    lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-    rows = np.flatnonzero(lettered)
+    rows = np.flatnonzero(lettered(texts))
     if model is None or not len(rows):
         return names, score
     raw = texts.cast(pa.binary()).take(pa.array(rows)).to_pylist()
@@ -232,11 +235,18 @@ def predict_documents(docs: DataFrame, model: Network | None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Network | None, doubt: float = 1.1) -> DataFrame:
-    """The rows, with all columns, whose language is known: not `und`, and likelier than `doubt` times a blind guess."""
+    """The rows, with all columns, whose language is known: not `und`, and likelier than `doubt` times a blind guess.
+
+    With fewer than two languages learned there is nothing to guess between: all texts with a letter stay.
+    """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            names, score = predict(texts_of(part), model)
-            yield part.filter(pa.array((names != UNKNOWN) & (score * len(model.languages if model else []) >= doubt), pa.bool_()))
+            if model is None or len(model.languages) < 2:
+                keep = lettered(texts_of(part))
+            else:
+                names, score = predict(texts_of(part), model)
+                keep = (names != UNKNOWN) & (score * len(model.languages) >= doubt)
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(judge, docs.schema)

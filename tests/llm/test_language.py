@@ -56,3 +56,15 @@ def test_awkward_rows(awkward, nothing):
 def test_und_needs_no_model():
     names, score = langid_gru.predict(pa.array(["", "123 +"]), None)
     assert list(names) == ["und", "und"] and list(score) == [0, 0]
+
+
+def test_one_language_and_none_keep_all_texts(spark):
+    """With fewer than two learned languages only texts without a letter go."""
+    rows = [r[:2] for r in made_rows()] + [(100, None), (101, ""), (102, "12 + 3"), (103, "é")]
+    for lang in ("en", None):
+        docs = spark.createDataFrame([(*r, lang) for r in rows], "doc_id long, text string, lang string")
+        model = langid_gru.fit(docs)
+        assert model is None if lang is None else model.languages == ["en"]
+        kept = langid_gru.keep_known(docs, model)
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == [*range(60), 103]
