@@ -171,6 +171,11 @@ def signatures(flat: np.ndarray, starts: np.ndarray, threshold: int) -> tuple[np
 # --- the join ---
 
 
+def first_row():
+    """Aggregate: doc_id and text_hash of one row, the smallest; a null id comes after all others."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+
+
 class Join:
     """Sets, classes, links and components of the documents (doc_id, text)."""
 
@@ -180,7 +185,7 @@ class Join:
         self.docs, self.width, self.threshold = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), width, threshold
         self.id_type = docs.schema["doc_id"].dataType.simpleString()
         self.sets = materialize(self._sets(), "sets")
-        grouped = self.sets.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", F.struct("doc_id", "text_hash")).alias("text_hash"))
+        grouped = self.sets.where("n > 0").groupBy("n", "f1", "f2").agg(first_row().alias("_first")).select("n", "f1", "f2", "_first.doc_id", "_first.text_hash")
         self.classes = materialize(grouped.withColumn("class", F.monotonically_increasing_id()), "classes")
 
     def _sets(self) -> DataFrame:
@@ -369,10 +374,10 @@ class Join:
 def one_of_each(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     """The rows, with all columns, of one document per component: the smallest id, and of its texts the smallest hash.
 
-    Documents with an empty set stay, each once.
+    A row without id is kept only where no document of the component has one. Documents with an empty set stay, each once.
     """
     found = Join(docs, width, threshold).documents()
-    best = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("_first"))
+    best = found.where(F.col("group").isNotNull()).groupBy("group").agg(first_row().alias("_first"))
     empty = found.where(F.col("group").isNull()).select("doc_id", "text_hash")
     kept = best.select("_first.doc_id", "_first.text_hash").unionByName(empty).distinct()
     kept = materialize(kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")), "kept")

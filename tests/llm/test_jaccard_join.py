@@ -154,3 +154,18 @@ def test_components(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_null_id_that_equals_another_row(make):
+    """Equal sets of unlike texts, one without id: the class is still found, and the row with an id stands for it."""
+    words = [f"w{i}" for i in range(120)]
+    for spoiled in (str.upper, lambda t: t.replace(" ", "  "), lambda t: f"{t}\n"):
+        rows = []
+        for f in range(6):
+            text = " ".join(f"{w}x{f}" for w in words)
+            rows += [(10 * f + 7, text), (None, spoiled(text)), (10 * f + 3, f"{text} end{f}")]
+        assert joined(make(rows)) == brute(rows, 4, 85)
+        kept = partenum.one_of_each(make(rows), 5, 80).collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(((10 * f + 3, rows[3 * f + 2][1]) for f in range(6)), key=str)
+    rows = [(7, "one two three four five six"), (None, "One two three four five six")]
+    assert [(r.doc_id, r.text) for r in partenum.one_of_each(make(rows), 5, 80).collect()] == [rows[0]]
