@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivo.llm import ann_tree, kneser_ney, langid_gru, mixing, packing, partenum, pii_crf, quality_mil, quality_rules, token_orc
+from arrivo.llm import (
+    ann_tree,
+    kneser_ney,
+    langid_gru,
+    line_dedup,
+    mixing,
+    packing,
+    partenum,
+    periods,
+    pii_crf,
+    quality_mil,
+    quality_rules,
+    spelling,
+    token_orc,
+)
 from arrivo.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +119,37 @@ def op10_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return pii_crf.find_spans(docs, pii_crf.fit(docs))
+
+
+@query
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(read(spark, sf_dir, "documents"), plant=True)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"), misspelt=199)
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(read(spark, sf_dir, "documents"))
+
+
+SQL["op13_line_dedup"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS place, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+numbered AS (
+  SELECT place, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS number FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM numbered),
+repeated AS (
+  SELECT key, max(doc_id) AS kept FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT k.*, coalesce(k.doc_id <> r.kept, false) AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY place, doc_id
+"""
