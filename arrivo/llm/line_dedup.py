@@ -176,8 +176,10 @@ def repeated_lines(docs: DataFrame, chars: int = KEY_CHARS, least_docs: int = DO
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(owner)), pa.array(signed(hashes[at])), texts], names=["doc_id", "hash", "key"])
 
     found = materialize(docs.mapInArrow(suspects, f"doc_id {id_type}, hash long, key string"), "suspects")
-    kept = found.groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("kept")).where(F.col("docs") >= least_docs)
-    return found.join(kept.select("key", "kept"), "key").where("doc_id <> kept").select("doc_id", "hash").distinct()
+    counted = found.groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("kept"))
+    # a table of its own, so that the join can split the suspects of a very common line
+    kept = materialize(counted.where(F.col("docs") >= least_docs).select("key", "kept"), "repeated")
+    return found.join(kept, "key").where("doc_id <> kept").select("doc_id", "hash").distinct()
 
 
 def _without(text: bytes, gone: set[int], chars: int) -> tuple[bytes, int]:
