@@ -19,6 +19,7 @@ from arrivo.operators.quantiles import column_quantiles
 MISSING = "unknown"
 MIN_FREQUENCY = 20
 POOLED = "_infrequent_"
+MOST_VALUES = 10_000  # of one category: the vocabulary is part of the model
 
 
 def median_table(train: DataFrame, numeric: Sequence[str]) -> DataFrame:
@@ -26,13 +27,16 @@ def median_table(train: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return column_quantiles(train, numeric, [0.5], ["mediana"])
 
 
+def text_of(column: str) -> Column:
+    """A category as text; missing is a category of its own."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
+
+
 def category_counts(train: DataFrame, categorical: Sequence[str]) -> DataFrame:
     """Rows per (columna, valor), missing counted as `unknown`."""
     cells = F.array(
         *[
-            F.struct(
-                F.lit(c).alias("columna"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("valor")
-            )
+            F.struct(F.lit(c).alias("columna"), text_of(c).alias("valor"))
             for c in categorical
         ]
     )
@@ -85,7 +89,10 @@ class Statistics:
 
     @classmethod
     def of(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str | None = None) -> "Statistics":
-        """Three passes over the rows; a few numbers per column and the vocabularies, which are part of the model, come back."""
+        """Three passes over the rows; a few numbers per column and the vocabularies, which are part of the model, come back.
+
+        A category with more than `MOST_VALUES` values is refused: it is an identifier, and would not fit the driver.
+        """
         numeric, categorical = list(numeric), list(categorical)
         medians = {c: 0.0 for c in numeric}
         if numeric:
@@ -94,8 +101,11 @@ class Statistics:
         # the label is counted like a category, in the same pass
         counted = [*categorical, *([label] if label else [])]
         counts: dict[str, dict[str, int]] = {c: {} for c in counted}
-        for r in category_counts(train, counted).orderBy("columna", "valor").collect() if counted else []:
+        found = category_counts(train, counted).limit(len(counted) * MOST_VALUES + 1).collect() if counted else []
+        for r in sorted(found, key=lambda r: (r["columna"], r["valor"])):
             counts[r["columna"]][r["valor"]] = r["n"]
+        if wide := [c for c in counted if len(counts[c]) > MOST_VALUES]:
+            raise ValueError(f"more than {MOST_VALUES} values, so no categories: {', '.join(wide)}")
         classes = {int(v): n for v, n in counts.pop(label).items() if v != MISSING} if label else {}
         return cls(medians, moments, counts, classes)
 
@@ -129,7 +139,7 @@ class Preprocessor:
     def codes(self, df: DataFrame) -> DataFrame:
         """Add `_code_<c>` per category: 1, 2 and so on by vocabulary, then one for pooled values; 0 if never seen."""
         known = [c for c in self.categorical if self.categories[c] or self.rare[c]]
-        texts = {f"_text_{c}": F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in known}
+        texts = {f"_text_{c}": text_of(c) for c in known}
         out = df.withColumns(texts) if texts else df
         if known:
             labels = [[*self.categories[c], *self.rare[c]] for c in known]
@@ -148,7 +158,11 @@ class Preprocessor:
     def _filled(self, c: str) -> Column:
         return F.coalesce(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), F.lit(self.medians[c]))
 
-    def _numbers(self) -> list[Column]:
+    def text(self, c: str) -> Column:
+        return text_of(c)
+
+    def numbers(self) -> list[Column]:
+        """The numeric inputs of the model, filled and scaled as the layout asks."""
         if self.layout == "onehot":
             return [(self._filled(c) - self.scales[c][0]) / self.scales[c][1] for c in self.numeric]
         # a number and whether it was missing
@@ -171,7 +185,7 @@ class Preprocessor:
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
         """Add the feature vector; a value never seen in training has all zeros in the one-hot layout."""
-        coded, numbers = self.codes(df), self._numbers()
+        coded, numbers = self.codes(df), self.numbers()
         codes = [f"_code_{c}" for c in self.categorical]
         if self.layout == "ordinal":
             vector = array_to_vector(F.array(*numbers, *[F.col(c) for c in codes]))

@@ -1,8 +1,7 @@
 """Baseline run, temporal cross-validation and model comparison, reported as long tables.
 
-All candidates are fitted on the same five parts of the past (what lies before each fold, and the train cohort). What
-the fits need to know of a part (medians, moments, category counts, class sizes) is measured once per part for the
-columns of all candidates. Scores of all candidates and cohorts are one written table, and every metric of the
+All candidates are fitted on the same five parts of the past (what lies before each fold, and the train cohort), all of them
+in the same passes over one table. Scores of all candidates and cohorts are one written table, and every metric of the
 comparison comes out of one job over it.
 """
 
@@ -14,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from arrivo.learning.models import Candidate, FittedModel, baseline_candidate, candidate_models, fit_parts
+from arrivo.learning.models import Candidate, FittedModel, baseline_candidate, candidate_models, fit_together
 from arrivo.operators.label import build_target, compare_label_rules
 from arrivo.operators.metrics import (
     ALERT_VOLUME,
@@ -154,8 +153,8 @@ def compare_models(
     needed = sorted({c for candidate in candidates.values() for c in candidate.columns})
     split = three_way_split(materialize(dataset.select("order_id", "prediction_time", TARGET, *needed), "dataset", balanced=True))
     folded = materialize(temporal_folds(union_cohorts(split, ["train", "validation"])), "folds", balanced=True)
-    parts = {f"fold{k}": folded.where(F.col("fold") < k) for k in range(1, folds + 1)}
-    fitted = fit_parts(candidates, parts | {"train": union_cohorts(split, ["train"])})
+    parts = {f"fold{k}": F.col("fold") < k for k in range(1, folds + 1)}
+    fitted = fit_together(candidates, folded, parts | {"train": F.col("cohort") == "train"})
     measured = [scored_by(fitted[f"fold{k}"], folded.where(F.col("fold") == k), f"fold{k}") for k in range(1, folds + 1)]
     measured += [scored_by(fitted["train"], union_cohorts(split, [c]), c) for c in ("validation", "test")]
     scored = materialize(reduce(DataFrame.unionByName, measured), "scores")
