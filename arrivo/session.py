@@ -20,6 +20,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Deletes the shuffle files of a query when it ends; on while an intermediate table is written, which is not run again.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Where intermediate tables go when the cluster names no checkpoint folder.
 SCRATCH_SETTING = "arrivo.scratch.dir"
 _local_scratch: list[str] = []
@@ -77,12 +80,18 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame, name: str, balanced: bool = False) -> DataFrame:
-    """Cut the lineage with a written table, which outlives any executor.
+    """Cut the lineage with a written table, which outlives any executor; what was shuffled for it is deleted.
 
     Parquet rather than `checkpoint()`: readers keep column pruning and the optimizer sees the size.
     `balanced` evens out the files (few for little data, no giant ones after a skewed join), which pays
     for its exchange where a fit reads the table many times.
     """
-    path = scratch_path(df.sparkSession, name)
-    (df.hint("rebalance") if balanced else df).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        (df.hint("rebalance") if balanced else df).write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
