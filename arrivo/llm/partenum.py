@@ -14,7 +14,9 @@ Candidates. First each set is compared with the smallest set of each of its buck
 random order of each bucket. After that only pairs in one bucket that lie in different components remain. Of all these,
 only pairs whose sizes and parity sketches leave room for a link count; differing bits are a lower bound of the
 difference, so nothing similar is lost. Candidates are verified on their whole sets. A group of near copies is joined
-before its pairs are asked for, so no step lists the pairs within a group.
+before its pairs are asked for, so no step lists the pairs within a group. The last step deals buckets into parts of at
+most about `PART_ROWS` sets, past which the other sets of the bucket stream; pairs are judged in the task, and only those
+that sizes and sketches allow leave it.
 
 Defined results: a text with fewer words than a shingle is one shingle of all its words; a null text or one without
 words has an empty set, linked with nothing; repeated rows are one class; the component of null ids alone is null; an
@@ -24,6 +26,7 @@ empty table gives an empty result; further columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from itertools import combinations
 
 import numpy as np
@@ -36,6 +39,7 @@ from arrivo.session import materialize
 
 BRIEF_LONGS = 4  # 64-bit words of the folded sketch that travels with the buckets
 FINE_BELOW = 256  # sets up to this size get signatures over more elements, since chance agreement is likelier
+PART_ROWS = 2048  # sets of a bucket that a task holds at once
 KNOWN_SETS = 200_000  # sets that a task remembers having signed
 
 
@@ -168,6 +172,72 @@ def signatures(flat: np.ndarray, starts: np.ndarray, threshold: int) -> tuple[np
     return np.concatenate(found), np.concatenate(owners)
 
 
+# --- pairs within buckets ---
+
+
+@dataclass
+class Sets:
+    """Rows of buckets, those of one part next to each other and its own before the guests."""
+
+    group: np.ndarray
+    own: np.ndarray
+    known: np.ndarray  # rows that have been compared with each other already
+    set: np.ndarray
+    n: np.ndarray
+    brief: np.ndarray
+    root: np.ndarray
+
+    def take(self, rows: np.ndarray) -> "Sets":
+        return Sets(*(getattr(self, f.name)[rows] for f in fields(self)))
+
+    def followed_by(self, other: "Sets") -> "Sets":
+        return Sets(*(np.concatenate([getattr(x, f.name) for x in (self, other)]) for f in fields(self)))
+
+    def pairs(self, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows (i, j) of one part, in different components, whose sizes and sketches leave room for a link."""
+        found = [(np.zeros(0, np.int64),) * 2]
+        i, away = np.flatnonzero(self.own), 0
+        while len(i):  # all rows that lie `away` places apart, until no part is that long
+            away += 1
+            i = i[i + away < len(self.group)]
+            i = i[self.group[i] == self.group[i + away]]
+            j = i + away
+            a, b = self.n[i], self.n[j]
+            open_ = (self.root[i] != self.root[j]) & ~(self.known[i] & self.known[j])
+            open_ &= 100 * np.minimum(a, b) >= threshold * np.maximum(a, b)
+            x, y = i[open_], j[open_]
+            odd = np.bitwise_count(self.brief[x] ^ self.brief[y]).sum(1, dtype=np.int64)
+            near = (100 + threshold) * odd <= (100 - threshold) * (self.n[x] + self.n[y])
+            found.append((x[near], y[near]))
+        return tuple(np.concatenate(side) for side in zip(*found))
+
+
+def compared(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs (a, b, ra, rb) from rows sorted by signature, part and owner; a part may reach over batches."""
+    held, last, number = None, None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+        signature, part = column("signature"), column("part")
+        fresh = np.concatenate([[(signature[0], part[0]) != last], (signature[1:] != signature[:-1]) | (part[1:] != part[:-1])])
+        last = signature[-1], part[-1]
+        group = number + np.cumsum(fresh)
+        number = int(group[-1])
+        brief = batch.column("brief").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, BRIEF_LONGS)
+        rows = Sets(group, column("own").astype(bool), np.zeros(len(group), bool), column("class"), column("n"), brief, column("root"))
+        if held is not None:
+            rows = held.followed_by(rows)
+        i, j = rows.pairs(threshold)
+        swap = rows.set[i] > rows.set[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        if len(i):
+            found = np.unique(np.stack([rows.set[i], rows.set[j], rows.root[i], rows.root[j]], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(found.T)], names=["a", "b", "ra", "rb"])
+        held = rows.take(np.flatnonzero(rows.own & (rows.group == number)))
+        held.known[:] = True
+
+
 # --- the join ---
 
 
@@ -330,6 +400,16 @@ class Join:
         beside = rows.select(whole.alias("l"), F.lag(whole).over(order).alias("r")).where("l.root <> r.root")
         return self._ordered(beside.where(self._possible("l", "r")))
 
+    def _within(self, rows: DataFrame) -> DataFrame:
+        """Candidates among all that is left of the open buckets: each part meets itself and the later parts."""
+        threshold = self.threshold
+        sizes = rows.groupBy("signature").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
+        dealt = rows.join(sizes, "signature").withColumn("home", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+        dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("home")))).withColumn("own", F.col("part") == F.col("home"))
+        ordered = dealt.select("signature", "part", "own", "class", "n", "brief", "root").repartition("signature", "part")
+        ordered = ordered.sortWithinPartitions("signature", "part", F.desc("own"))
+        return ordered.mapInArrow(lambda batches: compared(batches, threshold), "a long, b long, ra long, rb long").distinct()
+
     def _ordered(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of classes with their roots, each once, from rows with `l` and `r`."""
         ends = F.array_sort(F.array(*[F.struct(F.col(f"{x}.class").alias("c"), F.col(f"{x}.root").alias("r")) for x in "lr"]))
@@ -354,10 +434,7 @@ class Join:
         paired = firsts.join(ends.alias("l"), F.col("p.f1") == F.col("l.f1")).join(ends.alias("r"), F.col("p.least") == F.col("r.f1"))
         known = self._joined(self._ordered(paired), sets, known)
         known = self._joined(self._neighbours(self._open(buckets, known)), sets, known)
-        # what is left: all pairs of one bucket in different components
-        rest = self._open(buckets, known)
-        apart = (F.col("l.signature") == F.col("r.signature")) & (F.col("l.root") < F.col("r.root")) & self._possible("l", "r")
-        known = self._joined(self._ordered(rest.alias("l").join(rest.alias("r"), apart)), sets, known)
+        known = self._joined(self._within(self._open(buckets, known)), sets, known)
         return known.select("class", "root")
 
     def documents(self) -> DataFrame:

@@ -169,3 +169,56 @@ def test_null_id_that_equals_another_row(make):
         assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(((10 * f + 3, rows[3 * f + 2][1]) for f in range(6)), key=str)
     rows = [(7, "one two three four five six"), (None, "One two three four five six")]
     assert [(r.doc_id, r.text) for r in partenum.one_of_each(make(rows), 5, 80).collect()] == [rows[0]]
+
+
+def _bucket_rows(rng, sizes):
+    """Sorted rows of buckets dealt into parts, as the last step gets them, and the pairs it must find."""
+    rows, number = [], 0
+    for signature, size in enumerate(sizes):
+        parts = -(-size // 8)
+        for _ in range(size):
+            home = rng.randrange(parts)
+            bits = [rng.choice([0, 1 << 40, -1 << 62, 3]) for _ in range(partenum.BRIEF_LONGS)]
+            n = rng.choice([90, 100, 40])
+            rows += [(signature, p, p == home, number, n, bits, number // 3) for p in range(home + 1)]
+            number += 1
+    rows.sort(key=lambda r: (r[0], r[1], not r[2]))
+    want = set()
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[3] < y[3] and x[6] != y[6] and 100 * min(x[4], y[4]) >= 80 * max(x[4], y[4]):
+                odd = sum(((a ^ b) % (1 << 64)).bit_count() for a, b in zip(x[5], y[5]))
+                if 180 * odd <= 20 * (x[4] + y[4]):
+                    want.add((x[3], y[3], x[6], y[6]))
+    return rows, want
+
+
+@pytest.mark.parametrize("batch", [1, 7, 1000])
+def test_every_pair_of_a_bucket_is_judged(batch):
+    """Parts and batches of any size: no pair is lost, none comes from two buckets."""
+    rng = random.Random(batch)
+    rows, want = _bucket_rows(rng, [1, 2, 30, 5, 70, 1, 9])
+    names = ["signature", "part", "own", "class", "n", "brief", "root"]
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows[at : at + batch]), kinds)], names=names)
+        for at in range(0, len(rows), batch)
+    ]
+    found = [tuple(r.values()) for b in partenum.compared(iter(batches), 80) for r in b.to_pylist()]
+    assert len(want) > 50 and set(found) == want
+
+
+def test_parts_of_buckets(make, monkeypatch):
+    """The whole join with parts of two sets equals that with whole buckets."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.choice((1, 6, 12, 20))):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = make(rows).repartition(3)
+    whole = sorted(map(tuple, partenum.Join(docs).documents().select("doc_id", "n_shingles", "component_id").collect()))
+    monkeypatch.setattr(partenum, "PART_ROWS", 2)
+    assert sorted(map(tuple, partenum.Join(docs).documents().select("doc_id", "n_shingles", "component_id").collect())) == whole
