@@ -37,7 +37,7 @@ from arrivo.llm.components import components
 from arrivo.llm.words import Words, chain, mix, pieces, signed, texts_of
 from arrivo.session import materialize
 
-BRIEF_LONGS = 4  # 64-bit words of the folded sketch that travels with the buckets
+BRIEF_LONGS = 16  # 64-bit words of the folded sketch that travels with the buckets: sharp for sets of some hundred shingles
 FINE_BELOW = 256  # sets up to this size get signatures over more elements, since chance agreement is likelier
 PART_ROWS = 2048  # sets of a bucket that a task holds at once
 KNOWN_SETS = 200_000  # sets that a task remembers having signed
