@@ -7,11 +7,13 @@ have potentials over features of the word and its surroundings; neighbouring nod
 each node shares skip potentials with the next node of the document that repeats its characters (`same`) or its shape
 (`alike`), however far away. Loopy message passing makes the labels of a document consistent.
 
-Weights are learned by pseudo-likelihood from base spans of a bounded sample (`SAMPLE` documents with a node), some
-features hidden at random so that the field learns to trust its neighbours. A span is added where the belief is at
-least `SURE`, the text is of its kind, no base span is touched, and it is backed by a base span of that kind: a word with
-the characters or the shape of one inside the base span is backed, and so is one with those of a sure word of that kind
-that is backed itself, at any distance. The field only spreads what a document says elsewhere.
+Weights are learned by pseudo-likelihood from base spans of a bounded sample (`SAMPLE` documents with a node, `MOST_NODES`
+nodes), some features hidden at random so that the field learns to trust its neighbours. Words outside base spans that would
+pass the test of a kind by themselves, such as two cards with a space between, which the pattern takes for one, count as
+unknown in training and not as `none`. A span is added where the belief is at least `SURE`, no base span is touched, and
+either its text passes the whole test of its kind (for a single word `LIKELY` is enough then), or it can be of its kind and is backed by a base span: a word with the
+characters or the shape of one inside the base span is backed, and so is one with those of a sure word of that kind that
+is backed itself, at any distance.
 
 Defined results: a null text is empty and has no spans; repeated rows are searched each; an empty table gives an empty
 result; further columns are not looked at. The counts n_email to n_phone are those of base spans; n_added has the rest.
@@ -37,9 +39,11 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = 0  # label of words outside spans; kind i has label i + 1
 LABELS = len(KINDS) + 1
 SAMPLE = 2000
+MOST_NODES = 400_000  # of the sample, in the order of its hashes
 SLOTS = 4096
 ROUNDS = 12
 SURE = 0.9
+LIKELY = 0.1  # enough for the kind whose whole test a word passes
 NODES_AT_ONCE, EDGES_AT_ONCE = 20_000, 100_000  # bounds of memory; a text is never cut
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -58,6 +62,17 @@ Span = tuple[int, int, int]  # kind, start, end
 # --- base spans ---
 
 
+def passes(kind: int, value: str) -> bool:
+    """Whether a whole text is what the base pattern of the kind and its test ask for."""
+    if kind == 0:
+        return "@" in value and list(emails(value)) == [(0, len(value))]
+    if kind == 1:
+        return value.count(".") == 3 and list(addresses(value)) == [(0, len(value))]
+    pattern, least, most = ((CARD, 16, 19), (PHONE, 8, 15))[kind - 2]
+    digits = "".join(DIGITS.findall(value))
+    return least <= len(digits) <= most and pattern.fullmatch(value) is not None and (kind == 3 or luhn(digits))
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -129,7 +144,7 @@ def nodes_of(text: str) -> list[tuple[int, int]]:
 
 def shape(word: str) -> str:
     """Digits as 9, letters as a; runs longer than four are cut to five."""
-    kinds = "".join("9" if c in "0123456789" else "a" if c.isalpha() else c for c in word[:64])
+    kinds = "".join("9" if c in "0123456789" else "a" if c.isalpha() else c for c in word)
     return re.sub(r"(.)\1{4,}", r"\1\1\1\1\1", kinds)
 
 
@@ -162,6 +177,7 @@ class Graph:
     spans: list[tuple[int, int]] = field(default_factory=list)
     slots: list[list[int]] = field(default_factory=list)
     base: list[int] = field(default_factory=list)
+    unknown: list[bool] = field(default_factory=list)  # outside base spans, yet of a kind by itself
     chain: list[tuple[int, int]] = field(default_factory=list)
     same: list[tuple[int, int]] = field(default_factory=list)
     alike: list[tuple[int, int]] = field(default_factory=list)
@@ -175,7 +191,6 @@ class Graph:
         touch = lambda i: i + 1 < len(places) and not text[places[i][1] : places[i + 1][0]].strip(WHITE)
         spans = sorted((a, b, kind) for kind, a, b in base)
         at = 0
-        reach = 0
         for i, (start, end) in enumerate(places):
             left, right = i > 0 and touch(i - 1), touch(i)
             self.owner.append(number)
@@ -183,10 +198,12 @@ class Graph:
             self.slots.append(features(words[i], words[i - 1] if left else "", words[i + 1] if right else "", left, right))
             while at < len(spans) and spans[at][1] <= start:
                 at += 1
-            label = next((kind + 1 for a, b, kind in spans[at : at + 8] if a < end and b > start), NONE)
-            self.base.append(label)
-            reach = max(reach, end)
+            label, k = NONE, at
+            while label == NONE and k < len(spans) and spans[k][0] < end:
+                label, k = (spans[k][2] + 1 if spans[k][1] > start else NONE), k + 1
             me, bare = first + i, _bare(words[i])
+            self.base.append(label)
+            self.unknown.append(label == NONE and any(passes(kind, bare) for kind in range(len(KINDS))))
             if left:
                 self.chain.append((me - 1, me))
             key, form = "".join(c for c in bare.lower() if c.isalnum()), shape(bare)
@@ -255,7 +272,7 @@ def train(graph: Graph, steps: int = 150, rate: float = 0.05, decay: float = 1e-
         return model
     rng = np.random.default_rng(5)
     y, slots, edges = np.array(graph.base), np.array(graph.slots), graph.edges()
-    truth = np.eye(LABELS)[y]
+    truth, told = np.eye(LABELS)[y], ~np.array(graph.unknown, bool)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (model.unary, model.pair)]
     for step in range(1, steps + 1):
         shown = (rng.random(slots.shape) >= hidden) & (rng.random((len(slots), 1)) >= hidden / 2)
@@ -263,7 +280,7 @@ def train(graph: Graph, steps: int = 150, rate: float = 0.05, decay: float = 1e-
         for kind, e in enumerate(edges):
             np.add.at(logit, e[:, 1], model.pair[kind][y[e[:, 0]]])
             np.add.at(logit, e[:, 0], model.pair[kind].T[y[e[:, 1]]])
-        error = (np.exp(logit - _log_sum(logit, 1)[:, None]) - truth) / len(y)
+        error = (np.exp(logit - _log_sum(logit, 1)[:, None]) - truth) * told[:, None] / len(y)
         unary, pair = decay * model.unary / len(y) ** 0.5, decay * model.pair
         np.add.at(unary, slots[shown], np.repeat(error, shown.sum(1), axis=0))
         for kind, e in enumerate(edges):
@@ -280,7 +297,7 @@ def train(graph: Graph, steps: int = 150, rate: float = 0.05, decay: float = 1e-
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
     """Learn from the documents with a node that have the smallest hashes; their nodes, not their texts, reach the driver."""
-    spec = "place long, text_hash long, start long, stop long, slots array<int>, base int, chain int, same int, alike int"
+    spec = "place long, text_hash long, start long, stop long, slots array<int>, base int, unknown boolean, chain int, same int, alike int"
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
@@ -289,22 +306,24 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
                 graph = Graph()
                 graph.add(0, text, base_spans(text))
                 back = [{b: a for a, b in e} for e in (graph.chain, graph.same, graph.alike)]
-                for i, (span, slots, base) in enumerate(zip(graph.spans, graph.slots, graph.base)):
-                    rows.append((place, digest, *span, slots, base, *(i - e[i] if i in e else 0 for e in back)))
-            names = ["place", "text_hash", "start", "stop", "slots", "base", "chain", "same", "alike"]
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] + [pa.int32()] * 4
+                for i, (span, slots, base, unknown) in enumerate(zip(graph.spans, graph.slots, graph.base, graph.unknown)):
+                    rows.append((place, digest, *span, slots, base, unknown, *(i - e[i] if i in e else 0 for e in back)))
+            names = ["place", "text_hash", "start", "stop", "slots", "base", "unknown", "chain", "same", "alike"]
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.int32(), pa.bool_()] + [pa.int32()] * 3
             columns = zip(*rows) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
     holding = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
     hashed = holding.select(F.xxhash64("doc_id").alias("place"), F.xxhash64("text").alias("text_hash"), "text")
     picked = first_places(hashed, sample, holding.count(), "place", "text_hash")
-    rows = sorted(picked.repartition(8).mapInArrow(describe, spec).collect(), key=lambda r: (r.place, r.text_hash, r.start))
+    described = picked.repartition(8).mapInArrow(describe, spec)
+    rows = described.orderBy("place", "text_hash", "start", "stop").limit(MOST_NODES).collect()
     graph = Graph()
     for i, r in enumerate(rows):
         graph.owner.append(0)
         graph.slots.append(r.slots)
         graph.base.append(r.base)
+        graph.unknown.append(r.unknown)
         for edges, back in ((graph.chain, r.chain), (graph.same, r.same), (graph.alike, r.alike)):
             if back:
                 edges.append((i - back, i))
@@ -352,10 +371,18 @@ def backed_nodes(graph: Graph, kind: np.ndarray, base: np.ndarray) -> np.ndarray
 
 
 def added_spans(graph: Graph, texts: dict[int, str], belief: np.ndarray) -> dict[int, list[Span]]:
-    """By document: runs of joined nodes with one sure label outside base spans, backed by a base span elsewhere."""
+    """By document: runs of joined nodes with one sure label outside base spans that pass the test of their kind, or that are
+    backed by a base span elsewhere."""
     out: dict[int, list[Span]] = {}
     label, base = belief.argmax(1), np.array(graph.base)
-    sure = (belief.max(1) >= SURE) & (label != NONE) & (base == NONE)
+    free = (label != NONE) & (base == NONE)
+    sure = (belief.max(1) >= SURE) & free
+    for i in np.flatnonzero(np.array(graph.unknown, bool) & ~sure).tolist():
+        start, end = graph.spans[i]
+        bare = _bare(texts[graph.owner[i]][start:end])
+        for kind in range(len(KINDS)):
+            if belief[i, kind + 1] >= LIKELY and passes(kind, bare):
+                label[i], sure[i] = kind + 1, True
     if not sure.any():
         return out
     backed = backed_nodes(graph, np.where(sure, label, base), base)
@@ -370,7 +397,7 @@ def added_spans(graph: Graph, texts: dict[int, str], belief: np.ndarray) -> dict
             for first, last in [(at, stop - 1)] if stop - at == 1 else [(at, stop - 1), *((i, i) for i in range(at, stop))]:
                 start, value = graph.spans[first][0], text[graph.spans[first][0] : graph.spans[last][1]]
                 bare = _bare(value)
-                if backed[first : last + 1].any() and bare and _valid(kind, bare):
+                if bare and (passes(kind, bare) or backed[first : last + 1].any() and _valid(kind, bare)):
                     begin = start + value.index(bare)
                     out.setdefault(graph.owner[at], []).append((kind, begin, begin + len(bare)))
                     if first != last or stop - at == 1:

@@ -132,3 +132,65 @@ def test_backing_passes_through_sure_words_only():
     assert pii_crf.backed_nodes(graph, np.array([4, 4, 4, 4, 4]), base).tolist() == [True, True, True, False, True]
     assert pii_crf.backed_nodes(graph, np.array([4, 0, 4, 4, 4]), base).tolist() == [True, False, False, False, True]
     assert pii_crf.backed_nodes(graph, np.array([4, 3, 4, 4, 3]), base).tolist() == [True, False, False, False, False]
+
+
+def run_together():
+    """Texts in which two pieces of data stand side by side, so that the patterns fail, among many in which they do not."""
+    rng = random.Random(6)
+    texts, want = sample_texts(), []
+    cards = [c for c in (str(rng.randrange(10**15, 10**16)) for _ in range(900)) if pii_crf.luhn(c)]
+    for i, (a, b) in enumerate(zip(cards[:20], cards[20:40])):
+        texts.append(f"the word {a} and then")
+        if i < 4:
+            for words, kinds in ((f"+1 (826) 555-40{i}1 190.137.223.{i}", [(3, f"+1 (826) 555-40{i}1")]), (f"{a} {b}", [(2, a), (2, b)]), (f"{a} {a}", [(2, a), (2, a)])):
+                want.append((f"the word {words} and then", kinds))
+    return texts, want
+
+
+def test_data_that_stands_side_by_side():
+    texts, want = run_together()
+    graph = pii_crf.Graph()
+    for i, text in enumerate(texts + [w[0] for w in want]):
+        graph.add(i, text, sorted(pii_crf.base_spans(text)))
+    field = pii_crf.train(graph)
+    for text, kinds in want:
+        base, more = pii_crf.find(pa.array([text]), field)[0]
+        assert [(k, text[a:b]) for k, a, b in sorted(more, key=lambda s: s[1])] == kinds, text
+    clean = ["in 1999 and 2001 or 12 34 56", "(743) 555-3824", "order 1234567812345678 a1b2", "12.2020 and 1.2.3"]
+    assert all(found == ([], []) for found in pii_crf.find(pa.array(clean), field))
+
+
+def test_skip_edges_change_the_result():
+    """Repeated data teaches the skip potentials; without them the beliefs are others."""
+    import numpy as np
+
+    rng = random.Random(8)
+    cards = [c for c in (str(rng.randrange(10**15, 10**16)) for _ in range(1200)) if pii_crf.luhn(c)][:80]
+    graph = pii_crf.Graph()
+    for i, card in enumerate(cards):
+        text = f"the word {card} and {rng.randrange(10**15)} then {card} of {rng.randrange(10**6)}, {card}."
+        graph.add(i, text, sorted(pii_crf.base_spans(text)))
+    field = pii_crf.train(graph)
+    alone = pii_crf.Field(field.unary, field.pair * np.array([1.0, 0.0, 0.0])[:, None, None])
+    texts = [f"x{a}x {a} {b} y {a} and {a}, {b}" for a, b in zip(cards[:40], cards[40:])]
+    tested = pii_crf.Graph()
+    for i, text in enumerate(texts):
+        tested.add(i, text, sorted(pii_crf.base_spans(text)))
+    assert np.abs(field.beliefs(tested) - alone.beliefs(tested)).max() > 0.05
+    assert pii_crf.added_spans(tested, dict(enumerate(texts)), field.beliefs(tested)) != {}
+
+
+def test_words_that_pass_by_themselves_are_not_taught_as_none():
+    graph = pii_crf.Graph()
+    text = "4111111111111111 4111111111111111 1.2.3.4 999.1.1.1 12"
+    graph.add(0, text, sorted(pii_crf.base_spans(text)))
+    assert graph.unknown == [True, True, False, False, False] and graph.base[2] == 2
+
+
+def test_many_open_spans_and_long_words():
+    text = "x" * 70 + "1 " + "x" * 70 + "2 +1 " + ". ".join(str(i % 10) for i in range(12)) + " 1.2.3.4"
+    graph = pii_crf.Graph()
+    spans = [(3, 0, len(text))] + [(1, i, i + 1) for i in range(0, 40, 2)]
+    graph.add(0, text, spans)
+    assert all(label != 0 for label in graph.base)
+    assert pii_crf.shape("a" * 64 + "1") != pii_crf.shape("a" * 64 + "-")
