@@ -17,6 +17,7 @@ SOME = (
     " rate_by_promise rate_by_freight_quintile three_way_split temporal_folds ranking_metrics risk_report"
     " cost_thresholds calibration_deciles stream_history_totals csv_orders ingested_items exported_shapes catalog_view"
     " describe_infinities star_checks_broken check_references_broken duplicate_rows encoded_categories stream_checks"
+    " asof_last_purchase asof_later_purchase linear_scores platt_newton_sums"
 ).split()
 CHOSEN = list(driver.oracle_sql()) if os.environ.get("ARRIVO_ALL") else SOME
 
