@@ -6,7 +6,6 @@ a row: each distinct word of a piece is encoded once by the library, and the ids
 
 from __future__ import annotations
 
-import itertools
 import os
 import zlib
 
@@ -18,9 +17,9 @@ from arrivo.llm.words import Words
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 RUN_WORDS = 200
-PIECE_BYTES = 2 << 20  # of text encoded at a time
+PIECE_BYTES = 8 << 20  # of text encoded at a time
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -39,8 +38,8 @@ class Encoder:
     """Ids per distinct word. Plain words are looked up in lower case and without the marks after them; new ones are
     encoded many at a time, in one text, and told apart by the ids that end a word.
 
-    Two generations of known words are kept, each of `CACHE_WORDS` at most; a word that is asked for again moves to the
-    younger one, so that frequent words stay.
+    Known words are an Arrow array beside their ids, looked up for all words of a piece at once. Beyond `CACHE_WORDS` of
+    them, the half that was used last stays.
     """
 
     def __init__(self, path: str):
@@ -49,8 +48,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ends_word = self._word_ends()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known = pa.array([], pa.string())
+        self.flat = np.zeros(0, np.int32)
+        self.width, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.rounds = 0
 
     def _word_ends(self) -> np.ndarray | None:
         """By id: closes a word. None where the vocabulary does not mark that."""
@@ -63,56 +64,64 @@ class Encoder:
             out[number] = name.endswith(suffix)
         return out
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode(self, words: list[str], plain: bool) -> list[bytes]:
-        """Ids of new words. A run of plain words has one closing id for each; where the numbers differ (a letter whose
-        lower case is not a letter alone), the words of that run are encoded one by one."""
+    def _encode(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words in a row, and how many each has. A run of plain words has one closing id for each; where the
+        numbers differ (a letter whose lower case is not a letter alone), the words of that run are encoded one by one."""
         if not plain or self.ends_word is None:
-            return [np.array(ids, np.int32).tobytes() for ids in self._ids(words)]
-        out: list[bytes] = []
+            lists = self._ids(words)
+            return np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
+        flat, width = [], []
         runs = [words[at : at + RUN_WORDS] for at in range(0, len(words), RUN_WORDS)]
         for run, ids in zip(runs, self._ids([" ".join(run) for run in runs])):
-            found = np.array(ids, np.int32)
-            ends = (np.flatnonzero(self.ends_word[found]) + 1) * 4
-            if len(ends) != len(run):
-                out += self._encode(run, False)
-                continue
-            raw = found.tobytes()
-            out += [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-        return out
-
-    def known_ids(self, words: list[str], plain: list[bool]) -> list[bytes]:
-        """The ids of each of these distinct words as 32-bit numbers."""
-        young, old = self.young, self.old
-        out = [young.get(w) or old.get(w) for w in words]
-        missing = [i for i, x in enumerate(out) if x is None]
-        for kind in (True, False):
-            some = [i for i in missing if plain[i] == kind]
-            for i, ids in zip(some, self._encode([words[i] for i in some], kind) if some else []):
-                out[i] = ids
-        if len(young) + len(words) > CACHE_WORDS:
-            self.young, self.old = {}, young
-        if len(words) <= CACHE_WORDS:
-            self.young.update(zip(words, out))
-        return out
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            sizes = np.diff(ends, prepend=0)
+            if len(ends) != len(run) or ends[-1] != len(ids):
+                ids, sizes = self._encode(run, False)
+            flat.append(ids)
+            width.append(sizes)
+        return np.concatenate(flat), np.concatenate(width)
+
+    def _forget(self) -> None:
+        if len(self.known) > CACHE_WORDS:
+            keep = np.sort(np.argsort(-self.used, kind="stable")[: CACHE_WORDS // 2])
+            self.flat = gathered(self.flat, self.width, keep)
+            self.known, self.width, self.used = self.known.take(pa.array(keep)), self.width[keep], self.used[keep]
+
+    def places(self, words: pa.Array, plain: np.ndarray) -> np.ndarray:
+        """Where each of these words stands among the known ones, new ones included."""
+        found = pc.index_in(words, value_set=self.known)
+        at = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        for some, kind in ((missing[plain[missing]], True), (missing[~plain[missing]], False)):
+            if len(some):
+                new = words.take(pa.array(some))
+                flat, width = self._encode(new.to_pylist(), kind)
+                at[some] = len(self.known) + np.arange(len(some))
+                self.known = pa.concat_arrays([self.known, new])
+                self.flat, self.width = np.concatenate([self.flat, flat]), np.concatenate([self.width, width])
+                self.used = np.concatenate([self.used, np.zeros(len(some), np.int64)])
+        self.rounds += 1
+        self.used[at] = self.rounds
+        return at
 
     def word_ids(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each has."""
+        self._forget()
         parts = pc.extract_regex(pc.ascii_lower(vocabulary), PLAIN)
         plain = pc.is_valid(parts)
         cores = pc.if_else(plain, pc.struct_field(parts, "core"), vocabulary).dictionary_encode()
         tails = pc.if_else(plain, pc.struct_field(parts, "tail"), "").dictionary_encode()
         core, tail = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (cores, tails))
-        is_plain = np.zeros(len(cores.dictionary), bool)
+        words = pa.concat_arrays([cores.dictionary, tails.dictionary])
+        is_plain = np.zeros(len(words), bool)
         is_plain[core[plain.to_numpy(zero_copy_only=False)]] = True
-        marks = tails.dictionary.to_pylist()
-        known = self.known_ids(cores.dictionary.to_pylist(), is_plain.tolist()) + self.known_ids(marks, [False] * len(marks))
-        width = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        at = self.places(words, is_plain)
         # a word is its core, then its tail
-        halves = np.stack([core, tail + len(cores.dictionary)], 1)
-        return gathered(np.frombuffer(b"".join(known), np.int32), width, halves.ravel()), width[halves].sum(1)
+        halves = at[np.stack([core, tail + len(cores.dictionary)], 1)]
+        return gathered(self.flat, self.width, halves.ravel()), self.width[halves].sum(1)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by `END_ID`, and where each text starts (one more at the end)."""
