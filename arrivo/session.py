@@ -95,3 +95,14 @@ def materialize(df: DataFrame, name: str, balanced: bool = False) -> DataFrame:
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the written intermediate tables that these read, once all that is made of them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        own = f"/arrivo/{spark.conf.get('spark.app.id', 'session')}/"
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            if own in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
