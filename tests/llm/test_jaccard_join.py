@@ -197,7 +197,7 @@ def _bucket_rows(rng, sizes):
 def test_every_pair_of_a_bucket_is_judged(batch):
     """Parts and batches of any size: no pair is lost, none comes from two buckets."""
     rng = random.Random(batch)
-    rows, want = _bucket_rows(rng, [1, 2, 30, 5, 70, 1, 9])
+    rows, want = _bucket_rows(rng, [1, 2, 30, 5, 70, 1, 9, 60])
     names = ["signature", "part", "own", "class", "n", "brief", "root"]
     kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
     batches = [
