@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from arrivo.session import materialize
+from arrivo.session import discard, materialize
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -38,5 +38,6 @@ def components(links: DataFrame) -> DataFrame:
         near = both.join(_least(both), "u")
         large = near.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         near = large.join(_least(large), "u")
-        edges = _ordered(near.select("u", F.col("m").alias("v")).unionByName(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
+        older, edges = edges, _ordered(near.select("u", F.col("m").alias("v")).unionByName(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
+        discard(older)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

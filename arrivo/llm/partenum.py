@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from arrivo.llm.components import components
 from arrivo.llm.words import Words, chain, mix, pieces, signed, texts_of
-from arrivo.session import materialize
+from arrivo.session import discard, materialize
 
 BRIEF_LONGS = 16  # 64-bit words of the folded sketch that travels with the buckets: sharp for sets of some hundred shingles
 FINE_BELOW = 256  # sets up to this size get signatures over more elements, since chance agreement is likelier
@@ -421,7 +421,9 @@ class Join:
         links = self._verified(self._likely(pairs, sets), sets).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         found = components(links).withColumnRenamed("root", "_joint")
         moved = known.join(found, F.col("root") == F.col("node"), "left")
-        return materialize(moved.withColumn("root", F.coalesce("_joint", "root")).drop("node", "_joint"), "roots")
+        written = materialize(moved.withColumn("root", F.coalesce("_joint", "root")).drop("node", "_joint"), "roots")
+        discard(found)
+        return written
 
     def components(self) -> DataFrame:
         """(class, root) for the classes that share a signature with another; the root is one of them."""
@@ -433,8 +435,12 @@ class Join:
         ends = known.select("f1", "class", "root")
         paired = firsts.join(ends.alias("l"), F.col("p.f1") == F.col("l.f1")).join(ends.alias("r"), F.col("p.least") == F.col("r.f1"))
         known = self._joined(self._ordered(paired), sets, known)
-        known = self._joined(self._neighbours(self._open(buckets, known)), sets, known)
-        known = self._joined(self._within(self._open(buckets, known)), sets, known)
+        # a round's tables go when the next roots are written
+        for candidates in (self._neighbours, self._within):
+            rows, before = self._open(buckets, known), known
+            known = self._joined(candidates(rows), sets, before)
+            discard(rows, before)
+        discard(buckets, sets)
         return known.select("class", "root")
 
     def documents(self) -> DataFrame:
@@ -458,6 +464,7 @@ def one_of_each(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     empty = found.where(F.col("group").isNull()).select("doc_id", "text_hash")
     kept = best.select("_first.doc_id", "_first.text_hash").unionByName(empty).distinct()
     kept = materialize(kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")), "kept")
+    discard(found)
     key = F.xxhash64("text")
     same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (key == kept["_kept_hash"])
     return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
