@@ -374,8 +374,10 @@ class Join:
                     keep.append(100 * common >= threshold * (len(x) + len(y) - common))
                 yield batch.select(["a", "b", "ra", "rb"]).filter(pa.array(keep, pa.bool_()))
 
-        first = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
-        second = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
+        ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+        used = sets.join(ends, "class", "left_semi").select("class", "elements")
+        first = used.select(F.col("class").alias("a"), F.col("elements").alias("x"))
+        second = used.select(F.col("class").alias("b"), F.col("elements").alias("y"))
         rows = pairs.join(first, "a").join(second, "b").select("a", "b", "ra", "rb", "x", "y")
         return rows.mapInArrow(compare, "a long, b long, ra long, rb long")
 
@@ -417,9 +419,16 @@ class Join:
         return both.select(F.col("e")[0]["c"].alias("a"), F.col("e")[1]["c"].alias("b"), F.col("e")[0]["r"].alias("ra"), F.col("e")[1]["r"].alias("rb")).distinct()
 
     def _joined(self, pairs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
-        """`known` with the roots that the links among the candidate pairs bring together."""
-        links = self._verified(self._likely(pairs, sets), sets).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        """`known` with the roots that the links among the candidate pairs bring together.
+
+        Each sieve writes what it lets through, so that the shuffles of the one before are gone when whole sets move.
+        """
+        pairs = materialize(pairs, "pairs")
+        likely = materialize(self._likely(pairs, sets), "likely")
+        discard(pairs)
+        links = self._verified(likely, sets).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         found = components(links).withColumnRenamed("root", "_joint")
+        discard(likely)
         moved = known.join(found, F.col("root") == F.col("node"), "left")
         written = materialize(moved.withColumn("root", F.coalesce("_joint", "root")).drop("node", "_joint"), "roots")
         discard(found)
