@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from arrivo.plans.view import create_analytic_view
+from arrivo.plans.view import create_analytic_view, create_catalog_view
 from arrivo.queries.binding import PERIOD
 from arrivo.queries.registry import SQL, register
 from arrivo.schemas import TABLES
-from arrivo.session import scratch_path
-from arrivo.sources import readers, sinks
+from arrivo.session import configure, scratch_path
+from arrivo.sources import readers, releases, sinks
 
 
 def typed(b, name: str) -> DataFrame:
@@ -48,6 +48,29 @@ def catalog_view(b) -> DataFrame:
     return b.spark.table("pedidos_analitica")
 
 
+def catalog_sql_view(b) -> DataFrame:
+    """The view as SQL text over a release in the catalog, made in one session and read in another."""
+    folder, maker = scratch_path(b.spark, "catalog"), configure(b.spark.newSession())
+    database = folder.rsplit("/", 1)[-1].replace("-", "_")
+    releases.publish({n: b[n] for n in ("orders", "items", "products", "sellers", "customers", "payments")}, folder)
+    maker.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
+    releases.register_tables(maker, folder, database)
+    return b.spark.table(create_catalog_view(maker, database, period=PERIOD))
+
+
+def released_payments(b) -> DataFrame:
+    """Payments of the newest whole release, after a second writer has failed at its second table."""
+    folder = scratch_path(b.spark, "release")
+    releases.publish({n: b[n] for n in ("customers", "payments")}, folder)
+    broken = b["payments"].withColumn("payment_type", F.raise_error(F.lit("lost")).cast("string"))
+    try:
+        releases.publish({"customers": b["customers"].limit(0), "payments": broken}, folder)
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    return releases.read_release(b.spark, folder)["payments"]
+
+
 def text_ids(name: str) -> str:
     kinds = {c: kind.typeName() for c, kind in TABLES[name].columns}
     columns = [f"CAST({c} AS VARCHAR) AS {c}" if kind == "string" else c for c, kind in kinds.items()]
@@ -67,3 +90,6 @@ register(
 )
 register("catalog_view", catalog_view)
 SQL["catalog_view"] = SQL["analytic_view"]
+register("catalog_sql_view", catalog_sql_view)
+SQL["catalog_sql_view"] = SQL["analytic_view"]
+register("released_payments", released_payments, "SELECT * FROM m_payments", real=["payment_value"], whole=["payment_sequential", "payment_installments"])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arrivo.operators.checks import row_counts
 from arrivo.schemas import FEATURE_TABLES, TABLES
+from arrivo.sources.releases import numbers, publish, read_release
 
 STAMP_FORMAT = "yyyy-MM-dd[ HH:mm[:ss[.SSSSSS]]]"
 # free text with line breaks inside quotes: such a file cannot be split
@@ -80,7 +81,12 @@ def load_all_tables(
 def load_parquet_tables(
     spark: SparkSession, folder: str, names: Iterable[str] = tuple(TABLES)
 ) -> dict[str, DataFrame]:
-    """Tables written by `ingest`."""
+    """Tables of the newest release in the folder (written by `ingest`), else of plain folders by their names."""
+    if numbers(spark, folder):
+        found = read_release(spark, folder)
+        if missing := [n for n in names if n not in found]:
+            raise FileNotFoundError(f"missing in the release: {', '.join(missing)}")
+        return {n: without_nan(found[n]) for n in names}
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in names}
     require_paths(spark, paths)
     return {n: without_nan(spark.read.schema(TABLES[n].schema).parquet(p)) for n, p in paths.items()}
@@ -93,8 +99,10 @@ def ingest(
     names: Iterable[str] = tuple(TABLES),
     files: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV to Parquet, replacing what is there; safe to repeat. Returns the loaded row counts."""
+    """CSV to Parquet as one release; safe to repeat. Returns the loaded row counts.
+
+    A load that fails half-way leaves readers the release before.
+    """
     names = list(names)
-    for name, df in load_tables(spark, csv_folder, names, files).items():
-        df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+    publish(load_tables(spark, csv_folder, names, files), folder)
     return row_counts(load_parquet_tables(spark, folder, names))

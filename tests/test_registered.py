@@ -15,7 +15,7 @@ SOME = (
     " analytic_view asof_event_history check_keys check_references null_profile_orders describe_features"
     " fact_orders dim_geolocation dim_calendar review_last items_flat monthly_rates state_shares_top5"
     " rate_by_promise rate_by_freight_quintile three_way_split temporal_folds ranking_metrics risk_report"
-    " cost_thresholds calibration_deciles stream_history_totals csv_orders ingested_items exported_shapes catalog_view"
+    " cost_thresholds calibration_deciles stream_history_totals csv_orders ingested_items exported_shapes catalog_view catalog_sql_view released_payments"
     " describe_infinities star_checks_broken check_references_broken duplicate_rows encoded_categories stream_checks"
     " asof_last_purchase asof_later_purchase linear_scores platt_newton_sums"
 ).split()

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from arrivo.operators import checks, profile
 from arrivo.plans import star
+from arrivo.plans.view import analytic_view, create_catalog_view
 from arrivo.schemas import TABLES
-from arrivo.sources import readers, sinks
+from arrivo.sources import readers, releases, sinks
 
 REVIEWS = [
     ("r1", "o1", 1, None, "tarde", "2017-01-21 00:00:00", "2017-01-22 10:00:00"),
@@ -200,3 +201,50 @@ def test_reports_read_back(spark, tmp_path):
     report = {"a": 1, "b": [1.5, "é"], "c": {"d": None}}
     sinks.write_report(spark, report, str(tmp_path / "r"))
     assert sinks.read_report(spark, str(tmp_path / "r")) == report
+
+
+def test_a_release_is_seen_whole_or_not_at_all(nine, spark, tmp_path):
+    folder = str(tmp_path / "r")
+    assert releases.numbers(spark, folder) == []
+    with pytest.raises(FileNotFoundError):
+        releases.read_release(spark, folder)
+    releases.publish(nine, folder)
+    before = releases.read_release(spark, folder)
+    lost = nine["payments"].withColumn("payment_type", F.raise_error(F.lit("writer lost")).cast("string"))
+    with pytest.raises(Exception, match="writer lost"):
+        releases.publish({"customers": nine["customers"].limit(1), "payments": lost}, folder)
+    assert releases.numbers(spark, folder) == [1]
+    for name, df in releases.read_release(spark, folder).items():
+        assert values(df) == values(nine[name]), name
+    # a release of one table keeps the others; who has read the first goes on reading it
+    shapes = releases.publish({"sellers": nine["sellers"].limit(1)}, folder, "csv")
+    assert values(shapes, "tabla", "filas") == [("sellers", 1)]
+    after = releases.read_release(spark, folder)
+    assert (after["sellers"].count(), after["orders"].count(), before["sellers"].count()) == (1, 3, 2)
+    assert values(releases.read_release(spark, folder, 1)["sellers"]) == values(nine["sellers"])
+    # a number that is taken is not taken again
+    assert not releases._claim(spark, folder, 2, {}) and set(releases.manifest(spark, folder)) == set(TABLES)
+    releases.expire(spark, folder, keep=1)
+    assert releases.numbers(spark, folder) == [2]
+    assert values(releases.read_release(spark, folder)["reviews"]) == values(nine["reviews"])
+    with pytest.raises(Exception, match="(?i)not.?found|does not exist"):
+        before["sellers"].count()
+
+
+def test_catalog_view_is_found_by_another_session(nine, spark, tmp_path):
+    maker, folder = spark.newSession(), str(tmp_path / "r")
+    releases.publish(nine, folder)
+    maker.sql(f"CREATE DATABASE mercado LOCATION '{tmp_path / 'db'}'")
+    try:
+        releases.register_tables(maker, folder, "mercado")
+        for _ in range(2):  # replaceable
+            view = create_catalog_view(maker, "mercado")
+        got, want = spark.newSession().table(view), analytic_view(nine)
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+        assert values(got) == values(want) and want.count() == 3
+        # it shows the tables as they are
+        releases.publish({"orders": nine["orders"].limit(0)}, folder)
+        releases.register_tables(maker, folder, "mercado")
+        assert spark.table(view).count() == 0
+    finally:
+        maker.sql("DROP DATABASE mercado CASCADE")
