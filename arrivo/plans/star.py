@@ -299,14 +299,16 @@ def star_sums(star: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) ->
 
 
 def export_star(
-    star: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], folder: str, fmt: str = "csv"
+    star: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], folder: str, fmt: str = "csv", as_release: bool = False
 ) -> DataFrame:
     """Check first, then write all tables; nothing is written when a check fails.
 
-    The star is computed once, into written tables that both the checks and the export read.
+    The star is computed once, into written tables that both the checks and the export read. As a release its readers see
+    all nine tables or those of the release before; else each table is replaced in its own folder.
     """
+    from arrivo.sources.releases import publish
     from arrivo.sources.sinks import write_tables
 
     computed = {name: materialize(df, name) for name, df in star.items()}
     require_ok(check_star(computed, tables))
-    return write_tables(computed, folder, fmt)
+    return (publish if as_release else write_tables)(computed, folder, fmt)

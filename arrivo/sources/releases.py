@@ -2,8 +2,9 @@
 
 All tables of a release are written to folders that no reader knows; then its manifest appears under the next number, by one
 rename that refuses to replace. Readers take the newest manifest. A writer that is lost leaves folders without a manifest,
-which nobody reads. Of two writers that want one number the later one takes the next. A release holds the tables of the
-one before that it does not replace itself.
+which nobody reads. Of two writers that want one number the later one takes the next, where the store renames in one step (a distributed file
+system does; a local disk or an object store may let the later one win). A release holds the tables of the one before that it
+does not replace itself.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from arrivo.sources.sinks import write_tables
+from arrivo.sources.sinks import STAMP_FORMAT, write_tables
+
+# how the writer writes CSV, per format; Parquet needs nothing
+READ_OPTIONS = {"csv": {"header": "true", "escape": '"', "multiLine": "true", "timestampNTZFormat": STAMP_FORMAT}}
 
 
 def _path(spark: SparkSession, path: str):
@@ -92,9 +96,7 @@ def read_release(spark: SparkSession, folder: str, number: int | None = None) ->
     """The tables of a release, the newest by default; a later release does not change what was read."""
     out = {}
     for name, entry in manifest(spark, folder, number).items():
-        reader = spark.read.schema(StructType.fromJson(entry["schema"]))
-        if entry["format"] == "csv":
-            reader = reader.options(header=True, escape='"', multiLine=True)
+        reader = spark.read.schema(StructType.fromJson(entry["schema"])).options(**READ_OPTIONS.get(entry["format"], {}))
         out[name] = reader.format(entry["format"]).load(f"{folder.rstrip('/')}/{entry['path']}")
     return out
 
@@ -118,6 +120,6 @@ def register_tables(spark: SparkSession, folder: str, database: str, number: int
     files = _files(spark, folder)
     for name, entry in manifest(spark, folder, number).items():
         place = files.makeQualified(_path(spark, f"{folder.rstrip('/')}/{entry['path']}")).toString()
-        options = {"header": "true", "escape": '"', "multiLine": "true"} if entry["format"] == "csv" else {}
+        options = READ_OPTIONS.get(entry["format"], {})
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         spark.catalog.createTable(f"`{database}`.`{name}`", place, entry["format"], StructType.fromJson(entry["schema"]), **options)

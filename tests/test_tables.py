@@ -150,6 +150,15 @@ def test_star_is_checked_and_exported(nine, spark, tmp_path):
     assert shapes["fact_orders"] == 3 and shapes["items_flat"] == 4 and shapes["dim_calendario"] == 393
 
 
+def test_star_as_a_release(nine, spark, tmp_path):
+    built, folder = star.build_star(nine), str(tmp_path / "star")
+    star.export_star(built, nine, folder, "csv", as_release=True)
+    read = releases.read_release(spark, folder)
+    assert set(read) == set(built)
+    for name in ("fact_orders", "dim_customers"):
+        assert values(read[name]) == values(built[name]), name
+
+
 def test_nothing_is_written_when_a_check_fails(spark, tmp_path):
     doubled = full_market(spark, sellers=[("s1", "01000", "SP"), ("s1", "01000", "RJ"), ("s2", "20000", "RJ")])
     with pytest.raises(ValueError, match="items_flat"):
