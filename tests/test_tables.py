@@ -143,6 +143,33 @@ def test_dimensions(spark):
     assert days[-1].anio_mes == "2018-02" and days[-1].trimestre == 1
 
 
+def exchanges_above(plan, marker: str) -> int:
+    """Most exchanges between the root of a physical plan and a leaf that has a column."""
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    if not below:
+        return 0 if marker in plan.output().toString() else -100
+    return max(exchanges_above(p, marker) for p in below) + (plan.nodeName() == "Exchange")
+
+
+def test_flat_items_move_once_per_key(nine, spark):
+    """Items are exchanged by product, by seller and by order, and keep their rows and columns."""
+    flat = star.build_star(nine)["items_flat"]
+    old = {name: spark.conf.get(name) for name in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert exchanges_above(flat.select("*")._jdf.queryExecution().executedPlan(), "shipping_limit_date") == 3
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert flat.columns[:4] == ["order_id", "seller_id", "product_id", "customer_id"] and len(flat.columns) == len(set(flat.columns))
+    got = values(flat, "order_id", "order_item_id", "customer_unique_id", "seller_state", "product_category_name", "n_items", "monto_item")
+    assert [r[:2] + r[3:6] for r in got] == [
+        ("o1", 1, "SP", "moveis", 2), ("o1", 2, "RJ", "desconocida", 2), ("o2", 1, "SP", "moveis", 1), ("o3", 1, "RJ", "desconocida", 1)
+    ]
+    assert [float(r[6]) for r in got] == [110, 55, 120, 58]
+
+
 def test_star_is_checked_and_exported(nine, spark, tmp_path):
     built = star.build_star(nine)
     assert len(built) == 9 and "pago_total" not in built["items_flat"].columns
