@@ -222,3 +222,34 @@ def test_parts_of_buckets(make, monkeypatch):
     whole = sorted(map(tuple, partenum.Join(docs).documents().select("doc_id", "n_shingles", "component_id").collect()))
     monkeypatch.setattr(partenum, "PART_ROWS", 2)
     assert sorted(map(tuple, partenum.Join(docs).documents().select("doc_id", "n_shingles", "component_id").collect())) == whole
+
+
+def _one_bucket(sets, batch):
+    """Rows of sets in one bucket, all its own, with the sketches that travel."""
+    marks = partenum.sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    rows = [(5, 0, True, i, len(s), partenum.travelling(m, len(s)).view(np.int64).tolist(), i) for i, (s, m) in enumerate(zip(sets, marks))]
+    names = ["signature", "part", "own", "class", "n", "brief", "root"]
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    for at in range(0, len(rows), batch):
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows[at : at + batch]), kinds)], names=names)
+
+
+def _pairs(batches, **options):
+    return {(r["a"], r["b"]) for b in partenum.compared(batches, 80, **options) for r in b.to_pylist()}
+
+
+@pytest.mark.parametrize("batch", [1, 9, 1000])
+def test_large_unlike_sets_stay_in_their_bucket(batch):
+    """Of many sets of thousands of elements that share a bucket only the similar ones leave the task."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in rng.integers(100, 9000, 80)]
+    sets += [s[len(s) // 12 :] for s in sets[:40]]  # sketches of two lengths among them
+    assert _pairs(_one_bucket(sets, batch)) == {(i, 80 + i) for i in range(40)}
+
+
+@pytest.mark.parametrize("batch", [1, 2, 1000])
+def test_neighbours_are_next_to_each_other(batch):
+    """Of many equal sets as many pairs come as there are rows, over the ends of batches as well."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))] * 7
+    assert _pairs(_one_bucket(sets, batch), reach=1) == {(i, i + 1) for i in range(6)}
