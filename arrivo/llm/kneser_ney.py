@@ -38,6 +38,8 @@ ORDER = 2
 FOLDS = 10
 SHARD_BYTES = 24 << 20
 FLUSH_ROWS = 3_000_000
+MERGE_ROWS = 250_000  # about as many are sorted at a time
+BLOCK_ROWS = 8_192  # of one block at most: longer ones would be huge objects of the JVM, which it never moves
 BEGIN, END = np.uint64(0x1F123BB5159A55E5), np.uint64(0x2545F4914F6CDD1D)
 BIG = 255  # counts from here on are kept apart
 BLOCK = "shard int, level int, rows long, data binary, stats array<long>"
@@ -100,6 +102,11 @@ def grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray
     return columns
 
 
+def release() -> None:
+    """Give freed Arrow memory back to the system; workers live on after their tasks, beside those of other tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts the keys, and where in it each distinct key starts."""
     order = np.argsort(key, kind="stable")
@@ -112,7 +119,34 @@ def _add_up(columns: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[n
     order, first = _runs(chain(columns))
     if not len(first):
         return columns, counts
-    return [c[order[first]] for c in columns], [np.add.reduceat(c[order], first) for c in counts]
+    return [c[order[first]] for c in columns], [np.add.reduceat(c[order], first, dtype=np.int64) for c in counts]
+
+
+def _joined(parts: list[tuple[list[np.ndarray], list[np.ndarray]]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Columns and counts of all parts, one after the other."""
+    return [np.concatenate(c) for c in zip(*[p[0] for p in parts])], [np.concatenate(c) for c in zip(*[p[1] for p in parts])]
+
+
+def _merged(blocks: list[tuple[list[np.ndarray], list[np.ndarray]]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct rows of a shard with the sums of their counts, sorted by hash.
+
+    Blocks are sorted by their first column, so a range of it is a slice of each: only one range is gathered and sorted at a time.
+    The list is emptied.
+    """
+    ranges = 1 + sum(len(columns[0]) for columns, _ in blocks) // MERGE_ROWS
+    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    cuts = [[0, *np.searchsorted(columns[0], edges), len(columns[0])] for columns, _ in blocks]
+    found = []
+    for i in range(ranges):
+        part = [([c[at[i] : at[i + 1]] for c in columns], [c[at[i] : at[i + 1]] for c in counts]) for (columns, counts), at in zip(blocks, cuts)]
+        found.append(_add_up(*_joined(part)))
+    blocks.clear()
+    del part
+    columns, counts = _joined(found)
+    del found
+    release()
+    order = np.argsort(chain(columns), kind="stable")
+    return [c[order] for c in columns], [c[order] for c in counts]
 
 
 def shard_of(context: np.ndarray, shards: int) -> np.ndarray:
@@ -125,46 +159,61 @@ def _context(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def _blocks(columns: list[np.ndarray], counts: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
-    """Cut rows by shard; within a block columns lie one after the other, sorted, which the shuffle compresses."""
+    """Cut rows by shard; within a block columns lie one after the other, sorted and compressed, so that the JVM holds little of them."""
     level = len(columns)
     shard = shard_of(_context(columns), shards)
     order = np.lexsort((columns[0], shard))
     ends = np.searchsorted(shard[order], np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(ends)):
-        mine = order[ends[s] : ends[s + 1]]
-        data = b"".join(c[mine].tobytes() for c in columns) + b"".join(c[mine].astype(np.uint32).tobytes() for c in counts)
-        yield pa.RecordBatch.from_pylist([{"shard": int(s), "level": level, "rows": len(mine), "data": data, "stats": None}], schema=_schema())
+        for at in range(ends[s], ends[s + 1], BLOCK_ROWS):
+            mine = order[at : min(at + BLOCK_ROWS, ends[s + 1])]
+            data = b"".join(c[mine].tobytes() for c in columns) + b"".join(c[mine].astype(np.uint32).tobytes() for c in counts)
+            data = pa.compress(data, codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_pylist([{"shard": int(s), "level": level, "rows": len(mine), "data": data, "stats": None}], schema=_schema())
 
 
 def _schema() -> pa.Schema:
     return pa.schema([("shard", pa.int32()), ("level", pa.int32()), ("rows", pa.int64()), ("data", pa.binary()), ("stats", pa.list_(pa.int64()))])
 
 
-def _unblock(level: int, rows: int, data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _unblock(level: int, rows: int, data: pa.Buffer) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """A block's columns and counts, views of one buffer."""
+    data = pa.decompress(data, decompressed_size=(8 * level + 8) * rows, codec="zstd")
     columns = [np.frombuffer(data, np.uint64, rows, 8 * rows * i) for i in range(level)]
-    return columns, [np.frombuffer(data, np.uint32, rows, 8 * rows * level + 4 * rows * i).astype(np.int64) for i in range(2)]
+    return columns, [np.frombuffer(data, np.uint32, rows, 8 * rows * level + 4 * rows * i) for i in range(2)]
 
 
 def count_blocks(docs: DataFrame, order: int, shards: int) -> DataFrame:
-    """Blocks of the longest n-grams; each row has its count twice, as the count to discount and as the plain one."""
+    """Blocks of the longest n-grams; each row has its count twice, as the count to discount and as the plain one.
+
+    What a task holds of its pieces lies in parts, by ranges of shards, which are merged and sent one after the other.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns, counts, held = [], [], 0
+        ranges = min(shards, 1 + FLUSH_ROWS // MERGE_ROWS)
+        held, rows = [[] for _ in range(ranges)], 0
         for part in pieces(batches):
             found = grams(*sequences(Words(texts_of(part), lower=True)), order)
-            found, number = _add_up(found, [np.ones(len(found[0]), np.int64)])
-            columns.append(found)
-            counts.append(number[0])
-            held += len(number[0])
-            if held >= FLUSH_ROWS:
-                yield from flush(columns, counts)
-                columns, counts, held = [], [], 0
-        if held:
-            yield from flush(columns, counts)
-
-    def flush(columns, counts):
-        merged, number = _add_up([np.concatenate(c) for c in zip(*columns)], [np.concatenate(counts)])
-        yield from _blocks(merged, [number[0], number[0]], shards)
+            found, number = _add_up(found, [np.ones(len(found[0]), np.uint32)])
+            of = (shard_of(_context(found), shards) * ranges // shards).astype(np.uint16)
+            at = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[at], np.arange(ranges + 1))
+            for i in np.flatnonzero(np.diff(ends)):
+                mine = at[ends[i] : ends[i + 1]]
+                held[i].append(([c[mine] for c in found], [number[0][mine].astype(np.uint32)]))
+            rows += len(at)
+            if rows >= FLUSH_ROWS:
+                yield from flush(held)
+                rows = 0
+        yield from flush(held)
+
+    def flush(held):
+        for parts in held:
+            if parts:
+                merged, number = _add_up(*_joined(parts))
+                parts.clear()
+                yield from _blocks(merged, [number[0], number[0]], shards)
+        release()
 
     return docs.select("text").mapInArrow(count, BLOCK)
 
@@ -176,23 +225,23 @@ def reduce_level(blocks: DataFrame, level: int, shards: int, model: str) -> Data
     shard -level and pass later levels untouched.
     """
 
-    def reduce(group: pa.Table) -> pa.Table:
-        if group.column("shard")[0].as_py() < 0:
-            return group
-        shard = group.column("shard")[0].as_py()
-        parts = [_unblock(level, r, d) for r, d in zip(group.column("rows").to_pylist(), group.column("data").to_pylist())]
-        columns, counts = _add_up([np.concatenate(c) for c in zip(*[p[0] for p in parts])], [np.concatenate(c) for c in zip(*[p[1] for p in parts])])
-        del parts
-        adjusted, plain = counts
+    def reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = key[0].as_py()
+        if shard < 0:
+            yield from batches
+            return
+        columns, (adjusted, plain) = _merged(
+            [_unblock(level, r, d.as_buffer()) for batch in batches for r, d in zip(batch.column("rows").to_pylist(), batch.column("data"))]
+        )
         to = f"{model}/{level}/{shard}"
-        # `_add_up` leaves the rows in the order of this hash; a single word is its own key
+        # `_merged` leaves the rows in the order of this hash; a single word is its own key
         key = chain(columns)
         save(f"{to}-keys.npy", key)
         save(f"{to}-counts.npy", np.minimum(adjusted, BIG).astype(np.uint8))
         big = adjusted >= BIG
         save(f"{to}-big.npy", np.stack([key[big], adjusted[big].astype(np.uint64)]))
         stats = [len(key), *[int((adjusted == i).sum()) for i in (1, 2, 3, 4)], int(adjusted.sum()), int((adjusted > 2).sum()), int(plain.sum())]
-        out = [pa.RecordBatch.from_pylist([{"shard": -level, "level": level, "rows": 0, "data": None, "stats": stats}], schema=_schema())]
+        yield pa.RecordBatch.from_pylist([{"shard": -level, "level": level, "rows": 0, "data": None, "stats": stats}], schema=_schema())
         if level == 1:
             save(f"{to}-plain.npy", plain.astype(np.uint32 if not len(plain) or plain.max() < 1 << 32 else np.uint64))
         else:
@@ -202,9 +251,10 @@ def reduce_level(blocks: DataFrame, level: int, shards: int, model: str) -> Data
             save(f"{to}-contexts.npy", context[order[first]])
             sums_ = [add(adjusted), *[add((adjusted == i).astype(np.int64)) for i in (1, 2)], add((adjusted > 2).astype(np.int64))]
             save(f"{to}-weights.npy", np.stack(sums_).astype(np.uint32 if sums_[0].max() < 1 << 32 else np.uint64))
-            shorter, numbers = _add_up(columns[1:], [np.ones(len(key), np.int64), plain])
-            out += _blocks(shorter, numbers, shards)
-        return pa.Table.from_batches(out)
+            shorter, numbers = _add_up(columns[1:], [np.ones(len(key), np.uint32), plain])
+            del columns, adjusted, plain, key, context, order, first, sums_
+            yield from _blocks(shorter, numbers, shards)
+        release()
 
     return blocks.groupBy("shard").applyInArrow(reduce, BLOCK)
 
@@ -327,6 +377,7 @@ def score_documents(docs: DataFrame, model: Model, folds: int = FOLDS) -> DataFr
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
             tokens, starts = sequences(Words(texts_of(part), lower=True))
+            release()
             p, plain = model.probability(grams(tokens, starts, model.order))
             n = np.diff(starts)
             score = sums(np.log10(p), starts)

@@ -104,3 +104,32 @@ def test_arrays_are_mapped(make):
     some = [f for f in files if len(f)]
     assert some and all(isinstance(f, np.memmap) for f in some)
     assert all((np.diff(f.astype(object)) > 0).all() for f in some)
+
+
+def test_blocks_stay_small(make):
+    """A task sends its n-grams in blocks of a bounded number of rows, compressed, however many a shard gets of them."""
+    words = [f"w{i}" for i in range(40_000)]
+    blocks = kneser_ney.count_blocks(make([(1, " ".join(words))]).select("text"), 2, 2).collect()
+    assert sum(b.rows for b in blocks) == len(words) + 1 and {b.shard for b in blocks} == {0, 1}
+    assert max(b.rows for b in blocks) <= 8_192
+    assert all(len(b.data) < 24 * b.rows for b in blocks if b.rows > 1000)
+
+
+def test_shard_is_merged_in_ranges(monkeypatch):
+    """The blocks of a shard are added up like dictionaries would, and never sorted all at once."""
+    monkeypatch.setattr(kneser_ney, "MERGE_ROWS", 500)
+    sorted_at_once, runs = [], kneser_ney._runs
+    monkeypatch.setattr(kneser_ney, "_runs", lambda key: sorted_at_once.append(len(key)) or runs(key))
+    draw, want, blocks = np.random.default_rng(5), Counter(), []
+    for _ in range(40):
+        first, second = (draw.integers(0, 60, 200).astype(np.uint64) * np.uint64(2**58 - 9) for _ in range(2))
+        order = np.argsort(first, kind="stable")
+        counts = draw.integers(1, 2**32, 200).astype(np.uint32)
+        blocks.append(([first[order], second[order]], [counts, np.ones(200, np.uint32)]))
+        for row in zip(first[order].tolist(), second[order].tolist(), counts.tolist()):
+            want[row[:2]] += row[2]
+    columns, (adjusted, plain) = kneser_ney._merged(blocks)
+    assert dict(zip(zip(columns[0].tolist(), columns[1].tolist()), adjusted.tolist())) == want and plain.sum() == 8000
+    key = kneser_ney.chain(columns)
+    assert (key[1:] > key[:-1]).all() and len(sorted_at_once) > 10 and max(sorted_at_once) < 1500
+    assert [len(c) for c in kneser_ney._merged([([np.zeros(0, np.uint64)] * 2, [np.zeros(0, np.uint32)] * 2)])[0]] == [0, 0]
