@@ -152,7 +152,7 @@ register(
 )
 register(
     "items_flat",
-    lambda b: star.build_star(b.all(), EXTRA_TRANSLATIONS, STAR_BOX)["items_flat"],
+    lambda b: star.flat_in_shares(b.all(), EXTRA_TRANSLATIONS),
     """SELECT i.*, p.* EXCLUDE (product_id), s.seller_zip_code_prefix AS seller_zip_prefix, s.seller_city,
   s.seller_state, o.customer_zip_code_prefix, o.customer_city, o.customer_state, o.review_score,
   o.tiene_review, o.dias_entrega_total, o.dias_retraso, o.entrega_tardia, o.n_items, o.n_vendedores
